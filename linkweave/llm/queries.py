@@ -6,14 +6,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.llm.chat import format_conversations, parse_conversations
-from linkweave.llm.common import table
+from linkweave.llm.common import shared_dir, table
 from linkweave.llm.licenses import scan_licenses
+from linkweave.llm.sentencepieces import encode_documents
+from linkweave.llm.token_counts import count_tokens
+from linkweave.llm.warc import base32_sha1, read_archives, write_archives
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(table(spark, sf_dir, "documents"), piece_model())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select(
+        "page_id",
+        F.coalesce(F.length("payload").cast("long"), "declared_bytes").alias("payload_bytes"),
+        F.coalesce(base32_sha1(F.col("payload")), "payload_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -32,4 +67,4 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_license_scan, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_license_scan, op6_token_counts, op7_warc, op8_chat_format)}

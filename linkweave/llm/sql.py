@@ -43,4 +43,14 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length(text_out) + CASE WHEN role = before THEN length('<|also|>') ELSE length('<|turn|><|says|><|end|>') + length(role_out) END)::BIGINT AS formatted_chars
 FROM p GROUP BY conv_id"""
 
-ORACLE_SQL = {"op3_license_scan": _op3(), "op8_chat_format": OP8}
+OP7 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f"""
+
+ORACLE_SQL = {"op3_license_scan": _op3(), "op7_warc": OP7, "op8_chat_format": OP8}
