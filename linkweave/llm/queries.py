@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from linkweave.llm.chat import format_conversations, parse_conversations
 from linkweave.llm.common import shared_dir, table
+from linkweave.llm.decontaminate import find_leaks
 from linkweave.llm.licenses import scan_licenses
+from linkweave.llm.quality import score_quality
 from linkweave.llm.sentencepieces import encode_documents
 from linkweave.llm.token_counts import count_tokens
 from linkweave.llm.warc import base32_sha1, read_archives, write_archives
@@ -33,6 +35,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), piece_model())
 
@@ -67,4 +78,4 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_license_scan, op6_token_counts, op7_warc, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_license_scan, op4_decontaminate, op5_quality, op6_token_counts, op7_warc, op8_chat_format)}
