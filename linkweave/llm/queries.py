@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from linkweave.llm.chat import format_conversations, parse_conversations
 from linkweave.llm.common import shared_dir, table
 from linkweave.llm.decontaminate import find_leaks
+from linkweave.llm.imatch import fingerprint_documents
 from linkweave.llm.licenses import scan_licenses
+from linkweave.llm.near_dedup import near_duplicates
 from linkweave.llm.quality import score_quality
 from linkweave.llm.sentencepieces import encode_documents
 from linkweave.llm.token_counts import count_tokens
@@ -31,6 +33,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -78,4 +84,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_license_scan, op4_decontaminate, op5_quality, op6_token_counts, op7_warc, op8_chat_format)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_fingerprints, op3_license_scan, op4_decontaminate, op5_quality, op6_token_counts, op7_warc, op8_chat_format, op9_near_dedup)}
