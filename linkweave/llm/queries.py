@@ -10,6 +10,7 @@ from linkweave.llm.common import shared_dir, table
 from linkweave.llm.decontaminate import find_leaks
 from linkweave.llm.imatch import fingerprint_documents
 from linkweave.llm.licenses import scan_licenses
+from linkweave.llm.lm import score_texts
 from linkweave.llm.near_dedup import near_duplicates
 from linkweave.llm.quality import score_quality
 from linkweave.llm.sentencepieces import encode_documents
@@ -88,4 +89,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_fingerprints, op3_license_scan, op4_decontaminate, op5_quality, op6_token_counts, op7_warc, op8_chat_format, op9_near_dedup)}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), piece_model())
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_fingerprints, op3_license_scan, op4_decontaminate, op5_quality, op6_token_counts, op7_warc, op8_chat_format, op9_near_dedup, op10_lm_score)}
