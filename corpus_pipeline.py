@@ -1,9 +1,48 @@
-"""The training-data pipeline over documents."""
+"""The training-data pipeline over documents: each stage works on all that the one before kept."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkweave.llm.common import materialize, table
+from linkweave.llm.decontaminate import decontaminate
+from linkweave.llm.near_dedup import near_duplicates
+from linkweave.llm.quality import score_quality
+from linkweave.llm.queries import piece_model
+from linkweave.llm.sentencepieces import encode_documents
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return score_quality(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document, and the digest of what they decode to."""
+    coded = encode_documents(docs, piece_model(), keep=("doc_id", "lang", "source"))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontamination", benchmark_decontamination), ("sentencepiece", sentencepiece)]
+
+#: Trained rules and spaced seeds aren't SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
