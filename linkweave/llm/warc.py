@@ -12,12 +12,15 @@ number, checked against the total length and then decoded.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkweave.llm.common import materialize
+
 CRLF = "\r\n"
 HEX_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -44,9 +47,9 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, segm
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), _uri(F.col("url").cast("string")).alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload")))
-    first = rows.where(F.length("payload") >= min_revisit_bytes).groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("lowest"), F.min("page_id").alias("first_id"))
-    first = first.select("digest", "first_id", F.col("lowest.url").alias("first_url"))
-    rows = rows.join(first, "digest", "left")
+    first = rows.where(F.length("payload") >= min_revisit_bytes).groupBy("digest").agg(F.count("*").alias("copies"), F.min("page_id").alias("first_id"), F.min_by("url", "page_id").alias("first_url"))
+    # written first: where the payloads that repeat are few, Spark sees the size and broadcasts them instead of dealing out all payloads
+    rows = rows.join(materialize(first.where("copies > 1").drop("copies")), "digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     size = F.length("payload")
     body = F.expr(f"""array_join(concat(
@@ -89,6 +92,8 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, segm
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers by lower-case name, block) of each record; ValueError where the bytes are no WARC."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     at = 0
     while at < len(data):
         stop = data.find(b"\r\n\r\n", at)
@@ -157,7 +162,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = [_told(h, b) for h, b in parse(content.as_py()) if "warc-segment-number" not in h]
+                rows = []
+                for h, b in parse(content.as_py()):
+                    if "warc-segment-number" not in h:
+                        rows.append(_told(h, b))
+                    if len(rows) == 256:
+                        yield _batch(rows)
+                        rows = []
                 if rows:
                     yield _batch(rows)
 
