@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import materialize
+from linkweave.llm.common import fewer, materialize
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     Self-links and repeated links are fine; links with a null end are passed over. No links: no rows.
     """
     pairs = links.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    pairs, before = materialize(pairs), None
+    pairs, before = materialize(fewer(pairs)), None
     while True:
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
@@ -35,5 +35,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         # every smaller neighbour of a node, and the node, are linked to the smallest neighbour
         low = _lowest(large)
         small = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        pairs = materialize(fewer(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

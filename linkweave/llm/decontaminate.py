@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.vocab import slices
+from linkweave.llm.vocab import text_slices
 
 #: Picked positions of each mask: one word in three, four or five may differ, or a word here and there.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 1, 2, 4, 5, 6), (0, 1, 2, 3, 5, 6), (0, 2, 3, 6, 8))
@@ -147,9 +147,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
     for index in blocks(benchmark, block_chars):
         def run(batches: Iterator[pa.RecordBatch], index: SeedIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                    if rows := index.find(texts[a:b]):
+                for a, b in text_slices(batch.column(1), BATCH_CHARS):
+                    texts = batch.column(1).slice(a, b - a).to_pylist()
+                    if rows := index.find(texts):
                         text, *rest = zip(*rows, strict=True)
                         types = [pa.int64(), *[pa.int32()] * 5]
                         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([a + t for t in text])), *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], ["doc_id", "item_id", "item_words", "doc_word", "item_word", "stretch", "matched"])
@@ -165,9 +165,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
     for index in blocks(benchmark, block_chars):
         def run(batches: Iterator[pa.RecordBatch], index: SeedIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(at).to_pylist()
-                for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                    leaky = {r[0] for r in index.find(texts[a:b])}
+                for a, b in text_slices(batch.column(at), BATCH_CHARS):
+                    texts = batch.column(at).slice(a, b - a).to_pylist()
+                    leaky = {r[0] for r in index.find(texts)}
                     yield batch.take(pa.array([i for i in range(a, b) if i - a not in leaky], pa.int64()))
 
         out = out.mapInArrow(run, docs.schema)

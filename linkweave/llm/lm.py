@@ -31,7 +31,7 @@ from linkweave.llm import attention
 from linkweave.llm.common import materialize
 from linkweave.llm.quality import crc_mod
 from linkweave.llm.sentencepieces import Merger
-from linkweave.llm.vocab import SPACE, PieceVocab, slices
+from linkweave.llm.vocab import SPACE, PieceVocab, text_slices
 
 #: A frequent word has this share of all tokens at least, so that there are at most 1 / share; likewise for pairs and triples of subwords.
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
@@ -270,9 +270,9 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
             reader, adam, seen = Reader(sent.value), attention.Adam(start.value, 0.02 / (1 + 2 * turn)), 0
             weights = attention.split(adam.flat, INPUTS, CLASSES)
             for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                    inputs, targets = reader.sequences(reader.read(texts[a:b]))
+                for a, b in text_slices(batch.column(0), BATCH_CHARS):
+                    texts = batch.column(0).slice(a, b - a).to_pylist()
+                    inputs, targets = reader.sequences(reader.read(texts))
                     index, scored, owner = attention.windows(inputs)
                     # WINDOWS_A_DOC of each document, spread over it, other ones in each round
                     first = np.r_[0, np.flatnonzero(np.diff(owner)) + 1]
@@ -317,9 +317,9 @@ def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7
         words, weights = sent.value
         reader, p = Reader(words), attention.split(weights, INPUTS, CLASSES)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                codes = reader.read(texts[a:b])
+            for a, b in text_slices(batch.column(2), BATCH_CHARS):
+                texts = batch.column(2).slice(a, b - a).to_pylist()
+                codes = reader.read(texts)
                 by_class = attention.score(p, *reader.sequences(codes))
                 rows, tails, sizes = [], [], []
                 for c, s in zip(codes, by_class, strict=True):

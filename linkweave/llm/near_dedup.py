@@ -27,15 +27,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import materialize
+from linkweave.llm.common import fewer, materialize
 from linkweave.llm.components import connected_components
 from linkweave.llm.shingles import Shingler, mix, signatures
-from linkweave.llm.vocab import slices
+from linkweave.llm.vocab import text_slices
 
 POSITIONS, CHUNK, PERCENT = 50, 5, 75
 #: Members up to which a bucket's pairs are joined; members of a block in larger buckets.
 SMALL_BUCKET, BLOCK = 64, 64
 BATCH_CHARS = 4_000_000
+#: Classes whose keys one task makes, about.
+REPS_A_TASK = 20_000
 
 
 def sign(docs: DataFrame) -> DataFrame:
@@ -45,9 +47,9 @@ def sign(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                sets = [shingler.set(t) for t in texts[a:b]]
+            for a, b in text_slices(batch.column(1), BATCH_CHARS):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                sets = [shingler.set(t) for t in texts]
                 full = [s for s in sets if len(s)]
                 signed = iter(signatures(full, POSITIONS) if full else ())
                 rows = [(xxhash.xxh3_128_digest(s.tobytes()), next(signed).tobytes()) if len(s) else (None, None) for s in sets]
@@ -89,9 +91,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                sets = [shingler.set(t) for t in texts[a:b]]
+            for a, b in text_slices(batch.column(1), BATCH_CHARS):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                sets = [shingler.set(t) for t in texts]
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["rep", "shingles"])
@@ -131,7 +133,7 @@ def links_of_large(members: DataFrame, sets: DataFrame) -> DataFrame:
     n = F.ceil(F.col("members") / BLOCK)
     rows = members.withColumn("block", F.pmod(F.xxhash64("rep"), n)).join(sets, "rep")
     blocks = rows.groupBy("key", "block").agg(F.collect_list(F.struct("rep", "component", "shingles")).alias("docs"))
-    blocks = materialize(blocks)
+    blocks = materialize(fewer(blocks, 2))
     pairs = blocks.join(blocks.select("key", F.col("block").alias("other"), F.col("docs").alias("others")), "key").where("block <= other").select("docs", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +177,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed = materialize(sign(docs))
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"))
-    classes = materialize(classes)
-    rows = buckets(classes)
+    classes = materialize(fewer(classes))
+    # a row makes many keys: small parts keep what a task gathers small
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() // REPS_A_TASK)
+    rows = buckets(classes.select("rep", "signature").repartition(parts))
     hubs = rows.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    open_rows = materialize(rows.join(hubs, "key"))
+    open_rows = materialize(fewer(rows.join(hubs, "key"), 2))
     wanted = open_rows.select("rep").distinct()
     sets = materialize(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")))
     stars = open_rows.where("hub <> rep").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
@@ -186,10 +190,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # buckets whose members are in several components
     members = open_rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "members", F.coalesce("component", "rep").alias("component"))
     several = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    members = materialize(members.join(several, "key", "left_semi"))
+    members = materialize(fewer(members.join(several, "key", "left_semi")))
     small = confirm(pairs_of_small(members.where(F.col("members") <= SMALL_BUCKET), sets), sets)
     large = links_of_large(members.where(F.col("members") > SMALL_BUCKET), sets)
-    more = materialize(small.unionByName(large))
+    more = materialize(fewer(small.unionByName(large)))
     if not more.isEmpty():
         found = connected_components(more.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     of_class = classes.select("fingerprint", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))

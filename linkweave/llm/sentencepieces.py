@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.vocab import BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, PieceVocab, WordCodes, slices
+from linkweave.llm.vocab import BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, PieceVocab, WordCodes, text_slices
 
 #: Characters encoded at once, and words whose pieces are kept at most (bounded memory of a worker).
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS = 4_000_000, 300_000, 16_000_000
@@ -263,9 +263,9 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text", keep: tupl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(vocab), Decoder(vocab)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                ids, offsets = encoder.encode(texts[a:b])
+            for a, b in text_slices(batch.column(len(keep)), BATCH_CHARS):
+                texts = batch.column(len(keep)).slice(a, b - a).to_pylist()
+                ids, offsets = encoder.encode(texts)
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*columns, listed, decoder.decode(ids, offsets).cast(pa.string())], [*keep, "ids", "decoded"])

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hashes a worker keeps at most.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 WORDS = 5
 _ODD = np.random.default_rng(20240501).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = np.random.default_rng(20240502).integers(0, 2**63, 64, dtype=np.uint64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.vocab import PieceVocab, WordCodes, slices
+from linkweave.llm.vocab import PieceVocab, WordCodes, text_slices
 
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, UNKNOWN_PENALTY = 4_000_000, 300_000, 16_000_000, 10.0
 
@@ -89,9 +89,9 @@ def count_tokens(docs: DataFrame, model: str, text: str = "text", keep: tuple[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocab)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], BATCH_CHARS):
-                counts, scores = counter.count(texts[a:b])
+            for a, b in text_slices(batch.column(len(keep)), BATCH_CHARS):
+                texts = batch.column(len(keep)).slice(a, b - a).to_pylist()
+                counts, scores = counter.count(texts)
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(keep))), pa.array(counts), pa.array(scores)], [*keep, "n_tokens", "best_score"])
 
     return src.mapInArrow(run, schema)

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = "▁"
 NORMAL, CONTROL, UNKNOWN, BYTE = 0, 1, 2, 3
@@ -76,12 +78,12 @@ class WordCodes(dict):
         return code
 
 
-def slices(sizes: list[int], most: int) -> list[tuple[int, int]]:
+def text_slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
     """Ranges of rows of at most `most` characters together, or one row."""
     out, start, total = [], 0, 0
-    for i, n in enumerate(sizes):
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
         if total + n > most and i > start:
             out.append((start, i))
             start, total = i, 0
         total += n
-    return [*out, (start, len(sizes))] if start < len(sizes) else out
+    return [*out, (start, len(texts))] if start < len(texts) else out
