@@ -1,4 +1,434 @@
-"""The registry of queries over the driver's tables, with their oracle SQL."""
+"""The registry of queries over the driver's tables, with their oracle SQL.
 
-QUERIES = {}
-ORACLE_SQL = {}
+Records come from documents (linkweave.sources.derived); the limits fit those small tables.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkweave.functions import text as T
+from linkweave.oracle import ORACLE_SQL
+from linkweave.operators import decide, features, fusion, knn, learn, lsh, metrics, token_block, validate
+from linkweave.sources.derived import records, sides, truth
+from linkweave.sources.tables import candidate_lists as to_lists
+from linkweave.sources.tables import record_stats, union_sources
+
+LIMITS = token_block.Limits(0.05, 100, 1.0, 100, 1.0, 100, fallback=5)
+CAP, QUOTA, NEIGHBOURS = 5, 0.3, 10
+THRESHOLDS, CAPS, RANKS = [0.2, 0.4, 0.6, 0.8], [1, 2, 4], [2, 5]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f: Callable) -> Callable:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def over_sides(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(*sides(spark, sf_dir))
+
+    QUERIES[f.__name__] = run
+    return f
+
+
+def over_records(f: Callable[[DataFrame], DataFrame]) -> Callable:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(records(spark, sf_dir))
+
+    QUERIES[f.__name__] = run
+    return f
+
+
+# text
+
+
+@over_records
+def normalize_names(r):
+    return r.select("entity_id", "name", "address")
+
+
+@over_records
+def token_sets(r):
+    return r.select("entity_id", F.array_join(T.token_set(F.col("name")), " ").alias("tokens"))
+
+
+@over_records
+def token_pairs(r):
+    pairs = T.token_pairs(T.token_set(F.col("name")))
+    return r.select("entity_id", F.size(pairs).alias("n_pairs"), F.array_join(pairs, "|").alias("pairs"))
+
+
+@over_records
+def char_shingles(r):
+    grams = T.char_ngrams(T.record_text(F.col("name"), F.col("address")))
+    return r.select("entity_id", F.size(grams).alias("n_shingles"), F.md5(F.array_join(F.array_sort(grams), "|").cast("binary")).alias("shingles_md5"))
+
+
+@query
+def digit_runs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", F.array_join(T.digit_runs(T.normalize(F.col("text"))), " ").alias("runs"))
+
+
+@over_records
+def country_keys(r):
+    return r.groupBy("country").agg(F.count("*").alias("n")).select("country", T.country_key(F.col("country")).alias("country_key"), T.country_digest(F.col("country")).alias("digest"), "n")
+
+
+@over_records
+def portable_hashes(r):
+    return r.select("entity_id", T.portable_hash(F.col("entity_id")).alias("hash"))
+
+
+# sources and set operations
+
+
+@over_records
+def record_statistics(r):
+    return record_stats(r)
+
+
+@over_records
+def country_totals(r):
+    return token_block.country_totals(r.where("src > 1"))
+
+
+@over_records
+def country_shares(r):
+    n = r.groupBy("country").agg(F.count("*").alias("n"))
+    return n.select("country", "n", (F.col("n") / F.sum("n").over(learn._by(F.lit(1)))).alias("share"))
+
+
+@over_records
+def source_union(r):
+    both = union_sources(r.where("src = 2"), r.where("src = 3"))
+    return both.groupBy("src", "country").agg(F.count("*").alias("n"))
+
+
+def _source_tokens(r, src):
+    return r.where(F.col("src") == src).select("country", F.explode(T.token_set(F.col("name"))).alias("token"))
+
+
+@over_records
+def token_union(r):
+    return _source_tokens(r, 2).union(_source_tokens(r, 3)).distinct()
+
+
+@over_records
+def token_intersection(r):
+    return _source_tokens(r, 1).intersect(_source_tokens(r, 2))
+
+
+@over_records
+def token_difference(r):
+    return _source_tokens(r, 1).subtract(_source_tokens(r, 2))
+
+
+@over_sides
+def missing_ids_anti(s1, pool):
+    met = token_hits(s1, pool).select(F.col("s1_id").alias("entity_id")).distinct()
+    return s1.select("entity_id").join(met, "entity_id", "left_anti")
+
+
+# token blocking
+
+
+@over_sides
+def token_doc_freq(s1, pool):
+    return token_block.document_frequency(token_block.key_table(pool, "token"), token_block.key_table(s1, "token"))
+
+
+@over_sides
+def token_kept(s1, pool):
+    return token_block.kept_keys(token_doc_freq(s1, pool), token_block.country_totals(pool), LIMITS.token_share, LIMITS.token_cap)
+
+
+@over_sides
+def exact_block(s1, pool):
+    index = token_block.TokenIndex.build(s1, pool, LIMITS)
+    return token_block.meet(token_block.key_table(s1, "exact"), index.exact, "hits").select("s1_id", "cand_id")
+
+
+@over_sides
+def pair_block(s1, pool):
+    index = token_block.TokenIndex.build(s1, pool, LIMITS)
+    return token_block.meet(token_block.key_table(s1, "pair", LIMITS), index.pairs, "pair_hits")
+
+
+def token_hits(s1, pool):
+    index = token_block.TokenIndex.build(s1, pool, LIMITS)
+    return token_block.meet(token_block.key_table(s1, "token"), index.tokens, "token_hits")
+
+
+QUERIES["token_block"] = lambda spark, sf_dir: token_hits(*sides(spark, sf_dir))
+
+
+@over_sides
+def hybrid_block_scored(s1, pool):
+    return token_block.hybrid_block(s1, pool, LIMITS)
+
+
+@over_sides
+def candidate_lists(s1, pool):
+    found = token_block.hybrid_block(s1, pool, LIMITS).withColumn("rank", F.expr("row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id)"))
+    return to_lists(found, s1)
+
+
+# LSH
+
+
+@over_records
+def minhash_signature(r):
+    return lsh.signatures(r).select("entity_id", F.array_join("signature", "-").alias("signature"))
+
+
+@query
+def lsh_parameters(spark, sf_dir):
+    rows = ", ".join(f"({t}D, {lsh.best_bands(t)[0]}, {lsh.best_bands(t)[1]})" for t in (0.3, 0.4, 0.5))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(threshold, bands, band_rows)")
+
+
+@over_records
+def lsh_bands(r):
+    return lsh.band_keys(lsh.signatures(r), *lsh.best_bands(0.3)).select("entity_id", "band", "key")
+
+
+@over_sides
+def lsh_candidates(s1, pool):
+    return lsh.lsh_block(s1, pool)
+
+
+@over_sides
+def lsh_min_hits_topk(s1, pool):
+    return lsh.lsh_block(s1, pool, min_hits=2, most=5)
+
+
+# vectors
+
+
+def _vectors(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    base = rows.select(F.col("vec_id").alias("cand_id"), F.col("embedding").alias("vector"), F.col("label").alias("part"))
+    return base.where("cand_id % 20 = 0").withColumnRenamed("cand_id", "s1_id"), base
+
+
+@query
+def knn_topk(spark, sf_dir):
+    return knn.flat_knn(*_vectors(spark, sf_dir), 10).select("s1_id", "cand_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query
+def ivf_knn(spark, sf_dir):
+    return knn.ivf_knn(*_vectors(spark, sf_dir), 10)
+
+
+@over_sides
+def sparse_knn(s1, pool):
+    keys = lambda df: token_block.key_table(df.drop("name").withColumnRenamed("address", "name"), "token")
+    q, c = keys(s1), keys(pool)
+    kept = token_block.kept_keys(token_block.document_frequency(c, q), token_block.country_totals(pool), LIMITS.token_share, LIMITS.token_cap)
+    sizes = lambda df: df.groupBy("entity_id").agg(F.count("*").alias("n"))
+    return knn.sparse_knn(q, c.join(kept.select("country", "key"), ["country", "key"]), sizes(q), sizes(c), NEIGHBOURS)
+
+
+# fusion
+
+
+def _ranked(s1, pool):
+    return fusion.stack(hybrid_block_scored(s1, pool).select("s1_id", "cand_id", "score"), lsh.lsh_block(s1, pool).withColumnRenamed("hits", "score"), sparse_knn(s1, pool))
+
+
+@over_sides
+def source_rank(s1, pool):
+    return _ranked(s1, pool)
+
+
+@over_sides
+def rrf_fusion(s1, pool):
+    return fusion.fold(_ranked(s1, pool)).withColumn("rrf", fusion.rrf()).select("s1_id", "cand_id", "mask", "r1", "r2", "r3", "rrf")
+
+
+@over_sides
+def prune_opt(s1, pool):
+    return fusion.prune_core_safe(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+
+
+@over_sides
+def prune_ranked(s1, pool):
+    return fusion.prune_ranked(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+
+
+@over_sides
+def prune_p1p3(s1, pool):
+    return fusion.prune_without_lsh(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+
+
+@over_sides
+def prune_agreement(s1, pool):
+    return fusion.prune_agreement(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+
+
+@over_sides
+def prune_core_first(s1, pool):
+    return fusion.prune_core_first(fusion.fold(_ranked(s1, pool)), CAP)
+
+
+# features and decisions
+
+
+@over_sides
+def pair_features_sql(s1, pool):
+    return features.sql_features(prune_ranked(s1, pool), s1, pool)
+
+
+@over_sides
+def fuzzy_features(s1, pool):
+    return features.pair_features(prune_ranked(s1, pool), s1, pool)
+
+
+@over_sides
+def exact_match_shortcut(s1, pool):
+    return decide.exact_shortcut(prune_ranked(s1, pool), s1, pool).select("s1_id", "cand_id", "rank")
+
+
+def _scored(s1, pool):
+    """Candidates with a plain stand-in for the model's score."""
+    rows = features.paired(prune_ranked(s1, pool), s1, pool)
+    f = features.plain_features()
+    return rows.select("s1_id", "cand_id", "rank", (F.lit(0.6) * f["name_jaccard"] + F.lit(0.4) * f["address_jaccard"]).alias("score"))
+
+
+@over_sides
+def truth_label_join(s1, pool):
+    return learn.label_pairs(prune_ranked(s1, pool), truth(s1, pool)).select("s1_id", "cand_id", "rank", "label")
+
+
+@over_sides
+def decide_matches(s1, pool):
+    return decide.decide(_scored(s1, pool), 0.3, 2, 0.9)
+
+
+@over_sides
+def threshold_grid(s1, pool):
+    return decide.threshold_grid(s1, _scored(s1, pool), truth(s1, pool), THRESHOLDS, CAPS, RANKS)
+
+
+@over_sides
+def macro_f05(s1, pool):
+    return metrics.macro_f_half(s1, decide.decide(_scored(s1, pool), 0.3, 2), truth(s1, pool))
+
+
+@over_sides
+def gbt_scores(s1, pool):
+    ranked = prune_ranked(s1, pool)
+    rows = learn.label_pairs(features.pair_features(ranked, s1, pool), truth(s1, pool)).persist()
+    model = learn.train(rows, rounds=5, least=2)
+    return learn.predict(model, rows).select("s1_id", "cand_id", "label", "score")
+
+
+# truth, splits and samples
+
+
+def _lists(s1, pool):
+    ids = truth(s1, pool).groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_list("cand_id")), ",").alias("matched_entity_ids"))
+    return s1.select(F.col("entity_id").alias("s1_id"), "country").join(ids, "s1_id", "left").select(F.col("s1_id").alias("source1_entity_id"), F.coalesce("matched_entity_ids", F.lit("")).alias("matched_entity_ids"), "country")
+
+
+def _meta(s1, pool):
+    return learn.metadata(_lists(s1, pool).withColumnRenamed("source1_entity_id", "entity_id"))
+
+
+@over_sides
+def match_category(s1, pool):
+    return _meta(s1, pool).select("entity_id", "match_count", "match_category")
+
+
+@over_sides
+def source_coverage(s1, pool):
+    return _meta(s1, pool).groupBy("country", "source_coverage").agg(F.count("*").alias("n"))
+
+
+@over_sides
+def validation_split(s1, pool):
+    return learn.validation_split(_meta(s1, pool), pool.where("src = 2"))
+
+
+@over_sides
+def dev_sample(s1, pool):
+    return learn.dev_sample(s1, 50).select("entity_id", "name", "country")
+
+
+@over_records
+def first_by_country(r):
+    return learn.first_by_country(r, 20).select("entity_id", "country")
+
+
+@over_sides
+def hard_negatives(s1, pool):
+    return learn.hard_negatives(prune_ranked(s1, pool), truth(s1, pool), scan=2, tail=1).select("s1_id", "cand_id", "rank", "label")
+
+
+@over_sides
+def random_negatives(s1, pool):
+    return learn.random_negatives(prune_ranked(s1, pool), truth(s1, pool), most=2).select("s1_id", "cand_id", "label")
+
+
+# reports
+
+
+def _queries(s1, pool):
+    return metrics.per_query(s1, token_hits(s1, pool), truth(s1, pool))
+
+
+@over_sides
+def recall_report(s1, pool):
+    return metrics.recall_report(_queries(s1, pool), 100)
+
+
+@over_sides
+def recall_by_country(s1, pool):
+    return metrics.recall_by_country(_queries(s1, pool))
+
+
+@over_sides
+def recall_at_k(s1, pool):
+    return metrics.recall_at(prune_ranked(s1, pool), truth(s1, pool), (1, 2, 3, 5, 8))
+
+
+@over_sides
+def percentile_variants(s1, pool):
+    return metrics.percentiles(_queries(s1, pool), "n_cand")
+
+
+@over_sides
+def run_statistics(s1, pool):
+    return metrics.run_statistics(_queries(s1, pool))
+
+
+@over_sides
+def union_recall(s1, pool):
+    both = token_hits(s1, pool).select("s1_id", "cand_id").union(lsh.lsh_block(s1, pool).select("s1_id", "cand_id")).distinct()
+    return metrics.recall_report(metrics.per_query(s1, both, truth(s1, pool)))
+
+
+@over_sides
+def missed_matches(s1, pool):
+    return truth(s1, pool).select("s1_id", "cand_id").exceptAll(token_hits(s1, pool).select("s1_id", "cand_id"))
+
+
+@over_sides
+def validate_lists(s1, pool):
+    lists = _lists(s1, pool).drop("country").where(F.right("source1_entity_id", F.lit(1)) != "7")
+    planted = s1.sparkSession.sql("SELECT * FROM VALUES ('S1-none', 'S2-1,S2-1,X9'), ('S1-other', 'S1-5,S3-none'), ('S1-none', '') AS t(source1_entity_id, matched_entity_ids)")
+    return validate.list_problems(lists.unionByName(planted), s1, pool)
+
+
+@over_sides
+def unlisted_matches(s1, pool):
+    cells = to_lists(token_hits(s1, pool), s1, "cand_id")
+    return validate.not_candidates(_lists(s1, pool).drop("country"), cells)
