@@ -108,12 +108,20 @@ def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal:
     d["near"] = np.bincount(_BACK.ravel(), np.where(_AHEAD, 0, gs.sum(0)).ravel(), WINDOW)
     gs *= np.float32(WIDTH**-0.5)
     for name, at, own_g in (("q", ids[:, CONTEXT:], gs @ k), ("k", ids, gs.transpose(0, 2, 1) @ q), ("v", ids, a.transpose(0, 2, 1) @ gh), ("r", ids[:, CONTEXT:], gh)):
-        d[name] = np.zeros_like(p[name])
-        np.add.at(d[name], at.ravel(), own_g.reshape(-1, WIDTH))
+        d[name] = summed(at.ravel(), own_g.reshape(-1, WIDTH), p[name])
     names = list(p)
     return float(-logp[own, goal[own]].mean()) if len(own) else 0.0, np.concatenate([d[x].ravel() for x in names]).astype(np.float32)
 
 
+def summed(at: np.ndarray, rows: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """The sums of rows by row number `at`, in an array like `like`."""
+    out, order = np.zeros_like(like), np.argsort(at, kind="stable")
+    own = at[order]
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    out[own[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    return out
+
+
 class Adam:
     def __init__(self, flat: np.ndarray, rate: float = 0.02) -> None:
         self.flat, self.rate, self.t = flat.copy(), rate, 0

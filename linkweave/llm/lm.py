@@ -11,8 +11,8 @@ gives a text the probability
   chain over the subword ids of rarer words; P(word | class) is its share of the class.
 
 Word counts, subword counts and classes come from all training documents. The attention model is
-trained on every training document too: in each round the partitions train copies on windows of their
-documents, and the copies are averaged.
+trained on every training document too: each round has its share of them, the partitions train copies
+on windows of their documents, and the copies are averaged.
 """
 
 from __future__ import annotations
@@ -31,14 +31,14 @@ from linkweave.llm import attention
 from linkweave.llm.common import materialize
 from linkweave.llm.quality import crc_mod
 from linkweave.llm.sentencepieces import Merger
-from linkweave.llm.vocab import SPACE, PieceVocab, text_slices
+from linkweave.llm.vocab import SPACE, PieceVocab, WordCodes, text_slices
 
 #: A frequent word has this share of all tokens at least, so that there are at most 1 / share; likewise for pairs and triples of subwords.
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
 #: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
 INPUTS, CLASSES = 1024, 64
-ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 3, 32
-BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 300_000, 16_000_000, 1_000_000
+ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 3, 96
+BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
 PULL, LOG10 = 5.0, np.log(10)
 
 
@@ -116,13 +116,17 @@ class Table:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(keys)
-        self.keys, self.values = keys[order].astype(np.int64), values[order].astype(np.float64)
+        keys, values = keys[order].astype(np.int64), values[order].astype(np.float64)
+        self.keys, self.values = (keys, values) if len(keys) else (np.array([-1]), np.zeros(1))
 
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(keys))
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a place for each key, whether the key is there)."""
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[at], 0.0)
+        return at, self.keys[at] == keys
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at, hit = self.find(keys)
+        return np.where(hit, self.values[at], 0.0)
 
 
 @dataclass
@@ -131,8 +135,8 @@ class Chain:
 
     width: int
     triples: Table
-    contexts: Table  # of kept triples: how often a, b occurs, and how much of that the kept triples have
-    kept_triples: Table
+    contexts: Table  # of kept triples: how often a, b occurs
+    kept_triples: np.ndarray  # how much of that the kept triples have
     pairs: Table
     totals: np.ndarray
     rest: np.ndarray
@@ -155,15 +159,17 @@ class Chain:
         triples = Table(before * width + three["c"].to_numpy(np.int64), three["n"].to_numpy(float))
         seen = steps.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("n").alias("most")).where(F.col("most") >= least).toPandas()
         contexts = Table(seen["a"].to_numpy(np.int64) * width + seen["b"].to_numpy(np.int64), seen["n"].to_numpy(float))
-        keys, at = np.unique(before, return_inverse=True)
-        kept_triples = Table(keys, np.bincount(at, three["n"].to_numpy(float), len(keys)))
+        kept_triples = np.bincount(np.searchsorted(contexts.keys, before), three["n"].to_numpy(float), len(contexts.keys))
         return cls(width, triples, contexts, kept_triples, pairs, totals, (totals - kept + PULL) / (totals + PULL), single / single.sum())
 
     def log10(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         two = self.pairs.get(b * self.width + c) / (self.totals[b] + PULL) + self.rest[b] * self.single[c]
         before = a * self.width + b
-        seen = self.contexts.get(before)
-        return np.log10((self.triples.get(before * self.width + c) + (seen - self.kept_triples.get(before) + PULL) * two) / (seen + PULL))
+        at, hit = self.contexts.find(before)
+        seen, kept = np.where(hit, self.contexts.values[at], 0.0), np.where(hit, self.kept_triples[at], 0.0)
+        three = np.zeros(len(before))
+        three[hit] = self.triples.get(before[hit] * self.width + c[hit])
+        return np.log10((three + (seen - kept + PULL) * two) / (seen + PULL))
 
 
 @dataclass
@@ -214,50 +220,81 @@ def learn_words(docs: DataFrame, vocab: PieceVocab) -> tuple[WordModel, DataFram
 
 
 class Reader:
-    """Words of texts as inputs, classes and log10 P(word | class); kept for words, up to a bound."""
+    """Words of texts as inputs, classes and log10 P(word | class). Those of frequent words come with the
+    model; those of rarer words are kept up to a bound."""
 
     def __init__(self, model: WordModel) -> None:
         self.model, self.pieces, self.common = model, Pieces(model.vocab), max(1, sum(model.frequent.values()))
+        self.base, self.first, self.codes, self.rare = {}, 0, WordCodes(), []
+        self.inputs, self.classes, self.within, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64)
+        if model.frequent:
+            self.base = {w: i for i, w in enumerate(model.frequent)}
+            self.told = tuple(self.describe(list(self.base)))
+        else:
+            self.told = (self.inputs, self.classes, self.within, self.counts)
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.words: list[bytes] = []
-        self.chars = 0
-        self.inputs, self.classes, self.within, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64)
+        self.codes, self.rare, self.chars, self.first = WordCodes(self.base), [], 0, len(self.base)
+        self.inputs, self.classes, self.within, self.counts = self.told
 
-    def read(self, texts: list[str | None]) -> list[np.ndarray]:
+    def describe(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        """(inputs, classes, log10 P(word | class), training counts of frequent words)."""
+        m = self.model
+        flat, sizes = self.pieces.encode(words)
+        ends = np.cumsum(sizes)
+        leading = flat[ends - sizes]
+        chain = np.add.reduceat(m.chain.log10(*self.pieces.steps(flat, sizes)), ends - sizes + np.arange(len(sizes)))
+        n = np.fromiter((m.frequent.get(w, 0) for w in words), np.int64, len(words))
+        share = (1 - m.chain_share) * n / self.common + m.chain_share * 10**chain
+        classes = m.class_of[leading]
+        within = np.where(share > 1e-290, np.log10(np.maximum(share, 1e-300)), np.log10(m.chain_share) + chain) - np.log10(m.class_share[classes])
+        return m.input_of[leading].astype(np.int32), classes.astype(np.int32), within, n
+
+    def read(self, listed: list[list[bytes]]) -> list[np.ndarray]:
         """The codes of the words of each text."""
-        if len(self.codes) > CACHED_WORDS or self.chars > CACHED_CHARS:
+        if len(self.codes) - self.first > CACHED_WORDS or self.chars > CACHED_CHARS:
             self.clear()
-        out, known = [], len(self.words)
-        for t in texts:
-            words = split_words(t)
-            for w in set(words).difference(self.codes):
-                self.codes[w] = len(self.words)
-                self.words.append(w)
-            out.append(np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words)))
-        if fresh := self.words[known:]:
-            m = self.model
+        code_of = self.codes.__getitem__
+        out = [np.fromiter(map(code_of, words), np.int32, len(words)) for words in listed]
+        if fresh := self.codes.fresh:
             self.chars += sum(map(len, fresh))
-            flat, sizes = self.pieces.encode(fresh)
-            ends = np.cumsum(sizes)
-            leading = flat[ends - sizes]
-            steps = m.chain.log10(*self.pieces.steps(flat, sizes))
-            starts = ends - sizes + np.arange(len(sizes))
-            n = np.array([m.frequent.get(w, 0) for w in fresh], np.int64)
-            share = (1 - m.chain_share) * n / self.common + m.chain_share * 10 ** np.add.reduceat(steps, starts)
-            low = np.log10(m.chain_share) + np.add.reduceat(steps, starts)
-            classes = m.class_of[leading]
-            within = np.where(share > 1e-290, np.log10(np.maximum(share, 1e-300)), low) - np.log10(m.class_share[classes])
-            self.inputs, self.classes = np.r_[self.inputs, m.input_of[leading]].astype(np.int32), np.r_[self.classes, classes].astype(np.int32)
-            self.within, self.counts = np.r_[self.within, within], np.r_[self.counts, n]
+            self.rare += fresh
+            self.inputs, self.classes, self.within, self.counts = (np.concatenate(x) for x in zip((self.inputs, self.classes, self.within, self.counts), self.describe(fresh), strict=True))
+            self.codes.fresh = []
         return out
 
     def sequences(self, codes: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """(inputs, target classes) of each text: from its start to its end."""
         return [np.r_[0, self.inputs[c]] for c in codes], [np.r_[self.classes[c], CLASSES - 1] for c in codes]
 
+    def some_windows(self, texts: list[str | None], turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(input ids, which are real, target classes or -1) of WINDOWS_A_DOC windows of each text, spread over it."""
+        parts, places = [], []
+        for i, t in enumerate(texts):
+            words = split_words(t)
+            n = -(-(len(words) + 1) // attention.SCORED)
+            for j in {(i * 7919 + turn * 31 + k * (n // WINDOWS_A_DOC + 1)) % n for k in range(WINDOWS_A_DOC)}:
+                at = j * attention.SCORED
+                low = max(0, at - attention.CONTEXT - 1)
+                parts.append(words[low : at + attention.SCORED])
+                places.append((at, low, len(words)))
+        codes = self.read(parts)
+        ids = np.zeros((len(parts), attention.WINDOW), np.int32)
+        real = np.zeros(ids.shape, bool)
+        goal = np.full((len(parts), attention.SCORED), -1)
+        for k, (c, (at, low, n)) in enumerate(zip(codes, places, strict=True)):
+            start = at - attention.CONTEXT
+            a, b = max(start, 0), min(at + attention.SCORED, n + 1)
+            real[k, a - start : b - start] = True
+            a = max(a, 1)
+            ids[k, a - start : b - start] = self.inputs[c[a - 1 - low : b - 1 - low]]
+            e = min(at + attention.SCORED, n)
+            goal[k, : e - at] = self.classes[c[at - low : e - low]]
+            if e == n < at + attention.SCORED:
+                goal[k, n - at] = CLASSES - 1
+        return ids, real, goal
+
 
 def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> np.ndarray:
     """Weights trained on windows of every document (text); an average over partitions in each round."""
@@ -267,28 +304,20 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
         start = spark.sparkContext.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
-            reader, adam, seen = Reader(sent.value), attention.Adam(start.value, 0.02 / (1 + 2 * turn)), 0
+            reader, adam, seen = Reader(sent.value), attention.Adam(start.value, 0.03 / (1 + 2 * turn)), 0
             weights = attention.split(adam.flat, INPUTS, CLASSES)
             for batch in batches:
                 for a, b in text_slices(batch.column(0), BATCH_CHARS):
-                    texts = batch.column(0).slice(a, b - a).to_pylist()
-                    inputs, targets = reader.sequences(reader.read(texts))
-                    index, scored, owner = attention.windows(inputs)
-                    # WINDOWS_A_DOC of each document, spread over it, other ones in each round
-                    first = np.r_[0, np.flatnonzero(np.diff(owner)) + 1]
-                    size = np.diff(np.r_[first, len(owner)])
-                    pick = np.unique(np.concatenate([first + (np.arange(len(first)) * 7919 + turn * 31 + k * (size // WINDOWS_A_DOC + 1)) % size for k in range(WINDOWS_A_DOC)]))
-                    ids, goal = np.concatenate(inputs), np.concatenate(targets)
-                    for s in range(0, len(pick), STEP_WINDOWS):
-                        own = pick[s : s + STEP_WINDOWS]
-                        at = index[own]
-                        wanted = np.where(scored[own], goal[at[:, attention.CONTEXT :]], -1)
-                        adam.step(attention.gradient(weights, np.where(at < 0, 0, ids[at]), at >= 0, wanted)[1])
-                        seen += len(own)
+                    ids, real, goal = reader.some_windows(batch.column(0).slice(a, b - a).to_pylist(), turn)
+                    for k in range(0, len(ids), STEP_WINDOWS):
+                        own = slice(k, k + STEP_WINDOWS)
+                        adam.step(attention.gradient(weights, ids[own], real[own], goal[own])[1])
+                    seen += len(ids)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(adam.flat * seen, pa.float64()), pa.array(np.full(len(flat), seen), pa.int64())], ["at", "weight", "seen"])
 
-        parts = docs.select("text").mapInArrow(run, "at int, weight double, seen bigint")
+        # each round has its own share of the documents
+        parts = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text").mapInArrow(run, "at int, weight double, seen bigint")
         rows = parts.groupBy("at").agg((F.sum("weight") / F.sum("seen")).alias("weight")).toPandas()  # one row for each weight
         if len(rows):
             flat = np.zeros(len(flat), np.float32)
@@ -319,7 +348,7 @@ def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7
         for batch in batches:
             for a, b in text_slices(batch.column(2), BATCH_CHARS):
                 texts = batch.column(2).slice(a, b - a).to_pylist()
-                codes = reader.read(texts)
+                codes = reader.read([split_words(t) for t in texts])
                 by_class = attention.score(p, *reader.sequences(codes))
                 rows, tails, sizes = [], [], []
                 for c, s in zip(codes, by_class, strict=True):
@@ -331,7 +360,7 @@ def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7
                     rows.append((len(c) + 1, len(known), float(np.log10(known + 1.0).sum() - len(known) * spread), float(s + reader.within[c].sum())))
                 told, known, base, score = zip(*rows, strict=True)
                 rare = np.concatenate([t[0] for t in tails])
-                tail = pa.StructArray.from_arrays([pa.array([reader.words[i].decode("utf-8") for i in rare.tolist()], pa.string()), pa.array(np.concatenate([t[1] for t in tails]), pa.int64())], ["word", "times"])
+                tail = pa.StructArray.from_arrays([pa.array([reader.rare[i - reader.first].decode("utf-8") for i in rare.tolist()], pa.string()), pa.array(np.concatenate([t[1] for t in tails]), pa.int64())], ["word", "times"])
                 uid = np.frombuffer(os.urandom(8 * (b - a)), np.int64)  # written before it is used, so it stays
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(uid), pa.array(told, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),

@@ -68,9 +68,9 @@ class PieceVocab:
 class WordCodes(dict):
     """word -> code; a word not seen before gets the next code and is put in `fresh`."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.fresh: list[str] = []
+    def __init__(self, known: dict | None = None) -> None:
+        super().__init__(known or {})
+        self.fresh: list = []
 
     def __missing__(self, word: str) -> int:
         code = self[word] = len(self)
