@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from linkweave.llm.common import materialize, table
 from linkweave.llm.decontaminate import decontaminate
 from linkweave.llm.near_dedup import near_duplicates
-from linkweave.llm.quality import score_quality
+from linkweave.llm.quality import keep_quality
 from linkweave.llm.queries import piece_model
 from linkweave.llm.sentencepieces import encode_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
-    return score_quality(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that are learnt from at most (the ones with the smallest hash of doc_id).
 SAMPLE_ROWS = 10_000
+#: A leaf has MIN_LEAF rows at least, or a fortieth of fewer rows.
 TREES, DEPTH, MIN_LEAF, SHRINK, LASSO = 24, 3, 20, 0.3, 0.002
 
 NAMES = ["log_chars", "marks", "odd_marks", "capitals", "bars", "shouts", "word_chars", "distinct_words", "repeats", "repeats_apart", "line_words", "distinct_lines"]
@@ -92,17 +93,17 @@ def covers(x: np.ndarray, rule: Rule) -> np.ndarray:
     return ok
 
 
-def grow(x: np.ndarray, r: np.ndarray, rows: np.ndarray, path: Rule, depth: int, rules: list[Rule], fit: np.ndarray) -> None:
+def grow(x: np.ndarray, r: np.ndarray, rows: np.ndarray, path: Rule, depth: int, least: int, rules: list[Rule], fit: np.ndarray) -> None:
     """A regression tree on the residuals r: adds the path of each node to rules and each leaf's mean to fit."""
     if path:
         rules.append(path)
     best = (1e-9, None, None)
-    if depth and len(rows) >= 2 * MIN_LEAF:
+    if depth and len(rows) >= 2 * least:
         total = r[rows].sum()
         for k in range(x.shape[1]):
             order = rows[np.argsort(x[rows, k], kind="stable")]
             v, s = x[order, k], np.cumsum(r[order])
-            cut = np.arange(MIN_LEAF, len(rows) - MIN_LEAF + 1)
+            cut = np.arange(least, len(rows) - least + 1)
             cut = cut[v[cut - 1] < v[np.minimum(cut, len(rows) - 1)]]
             if not len(cut):
                 continue
@@ -116,21 +117,22 @@ def grow(x: np.ndarray, r: np.ndarray, rows: np.ndarray, path: Rule, depth: int,
         return
     over = x[rows, best[1]] > best[2]
     for side, own in ((False, rows[~over]), (True, rows[over])):
-        grow(x, r, own, (*path, (NAMES[best[1]], side, best[2])), depth - 1, rules, fit)
+        grow(x, r, own, (*path, (NAMES[best[1]], side, best[2])), depth - 1, least, rules, fit)
 
 
 def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 0) -> RuleModel:
     """x: statistics in the order of NAMES; y: 0 or 1. One class or no rows: a constant score."""
     rate = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
     model = RuleModel(float(np.log(rate / (1 - rate))))
-    if len(y) < 2 * MIN_LEAF or y.min() == y.max():
+    least = max(3, min(MIN_LEAF, len(y) // 40))
+    if len(y) < 2 * least or y.min() == y.max():
         return model
     rng, z, rules = np.random.default_rng(seed), np.full(len(y), model.bias), []
     for _ in range(TREES):
         fit = np.zeros(len(y))
         rows = np.flatnonzero(rng.random(len(y)) < 0.7)
         own: list[Rule] = []
-        grow(x, y - sigmoid(z), rows, (), DEPTH, own, fit)
+        grow(x, y - sigmoid(z), rows, (), DEPTH, least, own, fit)
         rules += own
         z = z + SHRINK * 4 * fit
     rules = list(dict.fromkeys(rules))
@@ -171,9 +173,24 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, he
     out; repeated rows each get the same score; without usable labels all scores are 0.5.
     """
     model = learn_quality(docs, labels, held_out_mod)
-    wide = with_statistics(docs.drop("held_out", "score", "predicted"))
+    return apply_model(with_statistics(docs.drop("held_out", "score", "predicted")), model, threshold, held_out_mod)
+
+
+def apply_model(wide: DataFrame, model: RuleModel, threshold: float, held_out_mod: int) -> DataFrame:
     scored = wide.withColumn("score", model.score()).withColumns({
         "held_out": F.coalesce(crc_mod(F.col("doc_id"), held_out_mod) == 0, F.lit(False)),
         "predicted": F.when(F.col("score") >= threshold, 1).otherwise(0),
     })
     return scored.drop(*(f"s_{n}" for n in NAMES))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, held_out_mod: int = 5) -> DataFrame:
+    """The rows of docs, as they are, that score_quality predicts to be good.
+
+    The row number keeps the filter above the statistics: pushed below them, each rule would work out
+    its statistics anew.
+    """
+    model = learn_quality(docs, labels, held_out_mod)
+    wide = with_statistics(docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns), "doc_id", "text")).withColumn("__row", F.monotonically_increasing_id())
+    kept = apply_model(wide, model, threshold, held_out_mod).where("predicted = 1 AND __row >= 0")
+    return kept.select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))
