@@ -100,8 +100,7 @@ def country_totals(r):
 
 @over_records
 def country_shares(r):
-    n = r.groupBy("country").agg(F.count("*").alias("n"))
-    return n.select("country", "n", (F.col("n") / F.sum("n").over(learn._by(F.lit(1)))).alias("share"))
+    return learn.shares(r, "country")
 
 
 @over_records
@@ -353,6 +352,11 @@ def source_coverage(s1, pool):
     return _meta(s1, pool).groupBy("country", "source_coverage").agg(F.count("*").alias("n"))
 
 
+@over_sides
+def category_shares(s1, pool):
+    return learn.shares(_meta(s1, pool), "match_category")
+
+
 @over_sides
 def validation_split(s1, pool):
     return learn.validation_split(_meta(s1, pool), pool.where("src = 2"))

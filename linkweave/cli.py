@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from linkweave.operators import learn, metrics, validate
 from linkweave.operators.lsh import lsh_block
 from linkweave.operators.token_block import Limits, hybrid_block
+from linkweave.plans import resolution
 from linkweave.plans.resolution import Settings, candidates, normalized
 from linkweave.sources.tables import candidate_lists, read_candidates, read_ids, read_records, read_truth, select_records, union_sources, write_split, write_tsv
 
@@ -39,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     block.add_argument("--p3-top-k", type=int, default=500)
     block.add_argument("--p3-slack-quota", type=float, default=0.10)
     recall = sub.add_parser("recall", help="recall of a candidate file")
-    recall.add_argument("--candidates", required=True)
+    recall.add_argument("--candidates", required=True, nargs="+", help="several files are united")
     recall.add_argument("--ground-truth", required=True)
     recall.add_argument("--s1", required=True)
     recall.add_argument("--pool-size", type=int)
@@ -55,6 +57,32 @@ def parser() -> argparse.ArgumentParser:
     split.add_argument("--output-dir", required=True)
     split.add_argument("--validation-fraction", type=float, default=0.2)
     split.add_argument("--seed", type=int, default=42)
+    for name, told in (("train", "a matcher on blocked candidates"), ("tune", "the best decision settings of a matcher"), ("match", "matches and candidates of S1 records")):
+        own = sub.add_parser(name, help=told)
+        for x in ("s1", "s2", "s3", "model"):
+            own.add_argument(f"--{x}", required=True)
+        own.add_argument("--ids-file")
+        own.add_argument("--max-doc-freq", type=float, default=0.001)
+        own.add_argument("--max-candidates", type=int, default=1500)
+        if name != "match":
+            own.add_argument("--ground-truth", required=True)
+            own.add_argument("--queries", type=int, default=20000 if name == "train" else 10000)
+            own.add_argument("--seed", type=int, default=42)
+        if name == "train":
+            own.add_argument("--hard-negatives-scan", type=int, default=160)
+            own.add_argument("--tail-negatives", type=int, default=32)
+            own.add_argument("--negative-weight", type=float, default=8.0)
+            own.add_argument("--learning-rate", type=float, default=0.06)
+            own.add_argument("--max-iter", type=int, default=40)
+            own.add_argument("--max-depth", type=int, default=5)
+            own.add_argument("--min-samples-leaf", type=int, default=40)
+        if name == "tune":
+            own.add_argument("--max-rank", type=int, default=256)
+        if name == "match":
+            own.add_argument("--output-matches", required=True)
+            own.add_argument("--output-candidates", required=True)
+            for x, kind in (("rank-k", int), ("model-k", int), ("max-matches", int), ("relative-gate", float), ("threshold", float)):
+                own.add_argument(f"--{x}", type=kind, help="in place of the model's setting")
     check = sub.add_parser("validate", help="the output contract")
     check.add_argument("--matching", required=True)
     check.add_argument("--candidate")
@@ -63,6 +91,34 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def matcher(o: argparse.Namespace, spark: SparkSession) -> None:
+    s1 = read_records(spark, o.s1)
+    if o.ids_file:
+        s1 = select_records(s1, read_ids(spark, o.ids_file))
+    if o.command != "match" and s1.count() > o.queries:
+        s1 = learn.dev_sample(s1, o.queries, o.seed)
+    s1, pool = normalized(s1).persist(), normalized(union_sources(*(read_records(spark, p) for p in (o.s2, o.s3))))
+    settings = Settings(Limits(o.max_doc_freq), cap=o.max_candidates)
+    ranked = candidates(s1, pool, settings).persist()
+    if o.command == "train":
+        model = resolution.train_matcher(s1, pool, ranked, read_truth(spark, o.ground_truth, s1), o.hard_negatives_scan, o.tail_negatives, o.seed, negative_weight=o.negative_weight, rate=o.learning_rate, rounds=o.max_iter, depth=o.max_depth, least=o.min_samples_leaf)
+        learn.save_model(model, o.model, {})
+        return
+    model, told = learn.load_model(o.model)
+    if o.command == "tune":
+        best = resolution.tune(s1, pool, ranked, read_truth(spark, o.ground_truth, s1), model, o.max_rank)
+        learn.save_settings(o.model, best)
+        print(best)
+        return
+    pick = lambda given, name, default: given if given is not None else told.get(name, default)
+    rank_k = pick(o.rank_k, "rank_k", 64)
+    settings = replace(settings, rank_k=rank_k, model_k=min(pick(o.model_k, "model_k", rank_k), rank_k), most=pick(o.max_matches, "max_matches", 12), gate=pick(o.relative_gate, "gate", 0.0), threshold=pick(o.threshold, "threshold", 0.39))
+    within = ranked.where(F.col("rank") <= settings.rank_k)
+    write_tsv(candidate_lists(within, s1), o.output_candidates)
+    found = candidate_lists(resolution.matches(s1, pool, ranked, model, settings), s1, "place")
+    write_tsv(found.withColumnRenamed("candidate_entity_ids", "matched_entity_ids"), o.output_matches)
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     o = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("linkweave").getOrCreate()
@@ -81,11 +137,13 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_tsv(candidate_lists(found, s1, order), o.output)
     elif o.command == "recall":
         s1 = read_records(spark, o.s1)
-        pairs = read_candidates(spark, o.candidates)
+        pairs = metrics.union_of_lists(*(read_candidates(spark, p) for p in o.candidates))
         own = select_records(s1, pairs.select(F.col("s1_id").alias("entity_id")))
         queries = metrics.per_query(own, pairs.select("s1_id", F.explode("cand_ids").alias("cand_id")), read_truth(spark, o.ground_truth, own)).persist()
         metrics.recall_report(queries, o.pool_size).show(truncate=False)
         metrics.recall_by_country(queries).show(truncate=False)
+    elif o.command in ("train", "tune", "match"):
+        matcher(o, spark)
     elif o.command == "sample":
         write_tsv(learn.dev_sample(read_records(spark, o.s1), o.size, o.seed), o.output, one_file=True)
     elif o.command == "split":

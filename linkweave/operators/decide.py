@@ -49,11 +49,11 @@ def threshold_grid(s1: DataFrame, scored: DataFrame, truth: DataFrame, threshold
     rows = rows.withColumn("max_matches", F.explode(F.array(*map(F.lit, caps)))).where(F.col("best") <= F.col("max_matches"))
     by_query = rows.groupBy("rank_k", "threshold", "gate", "max_matches", "s1_id").agg(F.count("*").alias("n"), F.sum("label").alias("tp"))
     every = s1.select(F.col("entity_id").alias("s1_id")).join(n_true, "s1_id", "left").select("s1_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
-    totals = every.agg(F.count("*").alias("n_queries"), F.count_if(F.col("n_true") == 0).alias("n_single"))
+    n_queries, n_single = every.agg(F.count("*")).scalar(), every.agg(F.count_if(F.col("n_true") == 0)).scalar()
     scored_queries = by_query.join(every, "s1_id").groupBy("rank_k", "threshold", "gate", "max_matches").agg(F.sum(f_half(F.col("tp"), F.col("n"), F.col("n_true"))).alias("gain"), F.count_if(F.col("n_true") == 0).alias("spoilt"))
     listed = s1.sparkSession.range(1).select(F.explode(F.array(*(F.struct(F.lit(k).alias("rank_k"), F.lit(float(t)).alias("threshold"), F.lit(float(g)).alias("gate"), F.lit(m).alias("max_matches")) for k in ranks for t in thresholds for g in gates for m in caps))).alias("s")).select("s.*")
-    out = listed.join(scored_queries, ["rank_k", "threshold", "gate", "max_matches"], "left").join(F.broadcast(totals))  # totals: one row
-    return out.select("rank_k", "threshold", "gate", "max_matches", ((F.coalesce("gain", F.lit(0.0)) + F.col("n_single") - F.coalesce("spoilt", F.lit(0))) / F.col("n_queries")).alias("macro_f05"))
+    out = listed.join(scored_queries, ["rank_k", "threshold", "gate", "max_matches"], "left")
+    return out.select("rank_k", "threshold", "gate", "max_matches", ((F.coalesce("gain", F.lit(0.0)) + n_single - F.coalesce("spoilt", F.lit(0))) / n_queries).alias("macro_f05"))
 
 
 def best_setting(grid: DataFrame) -> dict:

@@ -47,6 +47,12 @@ def metadata(rows: DataFrame) -> DataFrame:
     return rows.select("entity_id", "country", n.alias("match_count"), match_category(n).alias("match_category"), source_coverage(F.col("matched_entity_ids")).alias("source_coverage"))
 
 
+def shares(meta: DataFrame, by: str) -> DataFrame:
+    """by, n, share: how often each value of a column occurs."""
+    n = meta.groupBy(by).agg(F.count("*").alias("n"))
+    return n.select(by, "n", (F.col("n") / n.agg(F.sum("n")).scalar()).alias("share"))
+
+
 def validation_split(meta: DataFrame, test_s1: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
     """meta with split: validation rows are stratified within a country, countries follow the test set.
 
@@ -109,8 +115,12 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str, settings: dict) -> None:
-    spark = SparkSession.active()
     model.write().overwrite().save(f"{path}/model")
+    save_settings(path, settings)
+
+
+def save_settings(path: str, settings: dict) -> None:
+    spark = SparkSession.active()
     told = json.dumps({"features": list(FEATURES)} | settings)
     spark.createDataFrame([(told,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 

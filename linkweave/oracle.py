@@ -175,6 +175,7 @@ FROM best JOIN prep q ON q.entity_id = s1_id JOIN prep c ON c.entity_id = cand_i
         select=f"SELECT rank_k, threshold, 0.0::DOUBLE AS gate, max_matches, avg({_F05.format(n='n', tp='tp')}) AS macro_f05 FROM (SELECT rank_k, threshold, max_matches, coalesce(n, 0) AS n, coalesce(tp, 0) AS tp, coalesce(n_true, 0) AS n_true FROM every LEFT JOIN gq USING (rank_k, threshold, max_matches, s1_id) LEFT JOIN nt USING (s1_id)) GROUP BY ALL"),
     "match_category": _with(_LISTS, _META, select="SELECT entity_id, match_count, match_category FROM meta"),
     "source_coverage": _with(_LISTS, _META, select="SELECT country, source_coverage, count(*) AS n FROM meta GROUP BY ALL"),
+    "category_shares": _with(_LISTS, _META, select="SELECT match_category, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM meta) AS share FROM meta GROUP BY 1"),
     "validation_split": _with(_LISTS, _META,
         "tt AS (SELECT country, count(*) AS n_test FROM rec WHERE src = 2 AND country IN (SELECT country FROM meta) GROUP BY 1)",
         "tg AS (SELECT country, round_even((SELECT count(*) FROM meta) * 0.2::DOUBLE * n_test / (SELECT sum(n_test) FROM tt), 0)::BIGINT AS target FROM tt)",

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.functions.text import normalize, record_text
-from linkweave.operators.decide import decide, exact_shortcut
+from linkweave.operators.decide import best_setting, decide, exact_shortcut, threshold_grid
 from linkweave.operators.features import pair_features
 from linkweave.operators.fusion import fold, prune_ranked, stack
 from linkweave.operators.knn import choose_knn, embed
-from linkweave.operators.learn import predict
+from linkweave.operators.learn import hard_negatives, predict, train
 from linkweave.operators.lsh import lsh_block
 from linkweave.operators.token_block import Limits, hybrid_block
 
@@ -57,3 +57,27 @@ def matches(s1: DataFrame, pool: DataFrame, ranked: DataFrame, model: PipelineMo
     features = pair_features(within.where(F.col("rank") <= settings.model_k), s1, pool)
     scored = predict(model, features).select("s1_id", "cand_id", "rank", "score")
     return decide(scored, settings.threshold, settings.most, settings.gate, exact)
+
+
+def train_matcher(s1: DataFrame, pool: DataFrame, ranked: DataFrame, truth: DataFrame, scan: int = 160, tail: int = 32, seed: int = 42, **options) -> PipelineModel:
+    """A model trained on all positives, hard negatives and some random ones of ranked candidates."""
+    pairs = hard_negatives(ranked, truth, scan, tail, seed)
+    rows = pair_features(pairs, s1, pool).join(pairs.select("s1_id", "cand_id", "label"), ["s1_id", "cand_id"])
+    return train(rows.persist(), seed=seed, **options)
+
+
+#: The coarse grid of thresholds, caps and ranks, and the steps around its best setting.
+COARSE = {"thresholds": [round(0.05 + 0.005 * i, 4) for i in range(181)], "caps": [6, 8, 10, 12, 16], "ranks": [64, 128, 192, 256]}
+FINE_STEP, FINE_STEPS, FINE_GATES = 0.0005, 20, [0.0, 0.9, 0.95]
+
+
+def tune(s1: DataFrame, pool: DataFrame, ranked: DataFrame, truth: DataFrame, model: PipelineModel, max_rank: int = 256, coarse: dict | None = None) -> dict:
+    """The best threshold, rank_k, max_matches and gate by macro F0.5. Pairs are scored once, up to max_rank."""
+    features = pair_features(ranked.where(F.col("rank") <= max_rank), s1, pool)
+    scored = predict(model, features).select("s1_id", "cand_id", "rank", "score").persist()
+    grid = coarse or COARSE
+    best = best_setting(threshold_grid(s1, scored, truth, **grid))
+    near = [best["threshold"] + FINE_STEP * i for i in range(-FINE_STEPS, FINE_STEPS + 1)]
+    fine = best_setting(threshold_grid(s1, scored, truth, near, sorted({best["max_matches"], *grid["caps"][-2:]}), [best["rank_k"]], FINE_GATES))
+    scored.unpersist()
+    return fine if fine["macro_f05"] > best["macro_f05"] else best

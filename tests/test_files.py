@@ -118,3 +118,51 @@ def test_command_line(spark, tmp_path):
     truth = put(tmp_path / "truth.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-2\t\n")
     assert cli.main(["recall", "--candidates", out, "--ground-truth", truth, "--s1", s1], spark) == 0
     assert cli.main(["validate", "--matching", truth, "--s1", s1, "--pool", s2, s3], spark) == 0
+
+
+def test_train_tune_and_match(spark, tmp_path):
+    rng = __import__("random").Random(1)
+    words = [f"{a}{b}" for a in "bcdfgklm" for b in ("ara", "ino", "upe", "oli")]
+    names = [" ".join(rng.sample(words, 3)) for _ in range(40)]
+    s1 = put(tmp_path / "s1.tsv", RECORDS + "".join(f"S1-{i}\t{n}\t{i} main road\tUS\t\n" for i, n in enumerate(names)))
+    s2 = put(tmp_path / "s2.tsv", RECORDS + "".join(f"S2-{i}\t{n} ltd\t{i} main road\tUS\t\n" for i, n in enumerate(names)))
+    s3 = put(tmp_path / "s3.tsv", RECORDS + "".join(f"S3-{i}\t{' '.join(rng.sample(words, 3))}\t{i + 500} side street\tUS\t\n" for i in range(40)))
+    truth = put(tmp_path / "truth.tsv", "source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\tS2-{i}\n" for i in range(40)))
+    common = ["--s1", s1, "--s2", s2, "--s3", s3, "--model", str(tmp_path / "model"), "--max-doc-freq", "1"]
+    assert cli.main(["train", *common, "--ground-truth", truth, "--max-iter", "3", "--min-samples-leaf", "2"], spark) == 0
+    matches, cands = str(tmp_path / "m"), str(tmp_path / "c")
+    assert cli.main(["match", *common, "--output-matches", matches, "--output-candidates", cands], spark) == 0
+    got = {tuple(r) for r in tables.read_truth(spark, matches).collect()}
+    want = {(f"S1-{i}", f"S2-{i}") for i in range(40)}
+    assert len(got & want) >= 38
+    assert len(got - want) <= 4
+    assert tables.read_candidates(spark, cands).count() == 40
+
+
+def test_tuning(spark, monkeypatch):
+    from linkweave.plans import resolution
+
+    s1 = spark.createDataFrame([(f"S1-{i}", "US") for i in range(4)], "entity_id string, country string")
+    scored = spark.createDataFrame([(f"S1-{i}", f"S2-{i}", 1, 0.8 if i < 3 else 0.3) for i in range(4)], "s1_id string, cand_id string, rank int, score double").persist()
+    truth = scored.where("score > 0.5").select("s1_id", "cand_id")
+    monkeypatch.setattr(resolution, "pair_features", lambda pairs, a, b: pairs)
+    monkeypatch.setattr(resolution, "predict", lambda model, rows: rows)
+    best = resolution.tune(s1, None, scored, truth, None, coarse={"thresholds": [0.1, 0.5], "caps": [1, 2], "ranks": [1]})
+    assert (best["threshold"], best["macro_f05"]) == (0.5, 1.0)
+
+
+def test_lists_must_have_the_same_queries(spark):
+    from linkweave.operators.metrics import union_of_lists
+
+    a = spark.createDataFrame([("q", ["x", "y"])], "s1_id string, cand_ids array<string>")
+    b = spark.createDataFrame([("q", ["y", "z"])], "s1_id string, cand_ids array<string>")
+    assert union_of_lists(a, b).first()["cand_ids"] == ["x", "y", "z"]
+    with pytest.raises(ValueError, match="every list"):
+        union_of_lists(a, b.limit(0))
+
+
+def test_encoder_probe():
+    from linkweave.operators.knn import encoder_throughput, hashed_encoder
+
+    told = encoder_throughput(hashed_encoder(32), ["some text"] * 10)
+    assert (told["texts"], told["dimensions"]) == (10, 32)
