@@ -11,7 +11,7 @@ import numpy as np
 
 WIDTH, CONTEXT, SCORED = 16, 8, 24
 WINDOW = CONTEXT + SCORED
-HIDDEN = np.float32(-1e9)
+HIDDEN, MOST = np.float32(-1e9), np.float32(50)
 ROWS = 256  # windows at once: what is worked on stays in cache
 
 
@@ -39,6 +39,7 @@ def split(flat: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarray]:
 
 _BACK = (np.arange(CONTEXT, WINDOW)[:, None] - np.arange(WINDOW)[None]).clip(0)
 _AHEAD = np.arange(WINDOW)[None] > np.arange(CONTEXT, WINDOW)[:, None]
+_LATER = np.where(_AHEAD, HIDDEN, np.float32(0))
 
 
 def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,41 +58,48 @@ def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(log probabilities, attention, hidden) for windows of input ids; real: which positions hold an input."""
+    """(logits, log of their exponentials' sum, attention, hidden) for windows of input ids; real: which positions hold an input.
+
+    Scores and logits are held within MOST instead of being shifted by their maximum, and sums are
+    products with ones: both far cheaper over short rows.
+    """
     scores = p["q"][ids[:, CONTEXT:]] @ p["k"][ids].transpose(0, 2, 1)
     scores *= np.float32(WIDTH**-0.5)
-    scores += np.where(_AHEAD, HIDDEN, p["near"][_BACK])
-    scores += np.where(real, np.float32(0), HIDDEN)[:, None]
-    scores -= scores.max(2, keepdims=True)
+    scores += p["near"][_BACK]
+    np.minimum(scores, MOST, out=scores)
+    scores += _LATER
+    if not real.all():
+        scores += np.where(real, np.float32(0), HIDDEN)[:, None]
     a = np.exp(scores, out=scores)
-    a /= a.sum(2, keepdims=True)
+    a /= np.maximum(a @ np.ones(WINDOW, a.dtype), np.float32(1e-30))[:, :, None]
     h = a @ p["v"][ids]
     h += p["r"][ids[:, CONTEXT:]]
     logits = h.reshape(-1, WIDTH) @ p["w"]
     logits += p["b"]
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits, a, h
+    np.clip(logits, -MOST, MOST, out=logits)
+    return logits, np.log(np.exp(logits) @ np.ones(logits.shape[1], logits.dtype)), a, h
 
 
 def score(p: dict[str, np.ndarray], inputs: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
-    """The log10 probability of the target classes of each sequence."""
+    """The log10 probability of each target class, all sequences joined."""
     if not inputs:
         return np.zeros(0)
-    index, scored, owner = windows(inputs)
+    index, scored, _ = windows(inputs)
     ids, wanted = np.concatenate(inputs), np.concatenate(targets)
-    total = np.zeros(len(index))
+    out = np.empty(len(ids))
     for a in range(0, len(index), ROWS):
         at = index[a : a + ROWS]
-        logp = forward(p, np.where(at < 0, 0, ids[at]), at >= 0)[0]
-        goal = wanted[at[:, CONTEXT:]].ravel()
-        total[a : a + ROWS] = (logp[np.arange(len(goal)), goal].reshape(-1, SCORED) * scored[a : a + ROWS]).sum(1, dtype=np.float64)
-    return np.bincount(owner, total, len(inputs)) / np.log(10)
+        logits, whole, *_ = forward(p, np.where(at < 0, 0, ids[at]), at >= 0)
+        own = scored[a : a + ROWS].ravel()
+        place = at[:, CONTEXT:].ravel()[own]
+        out[place] = logits[own, wanted[place]] - whole[own]
+    return out / np.log(10)
 
 
 def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal: np.ndarray) -> tuple[float, np.ndarray]:
     """(mean loss, gradient of all weights) over the scored positions of windows; goal is -1 where there is none."""
-    logp, a, h = forward(p, ids, real)
+    logits, whole, a, h = forward(p, ids, real)
+    logp = logits - whole[:, None]
     goal = goal.ravel()
     own = np.flatnonzero(goal >= 0)
     n = max(1, len(own))

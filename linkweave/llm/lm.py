@@ -3,7 +3,9 @@
 Tokens are words (runs of anything but ASCII white space, A-Z in lower case) and one end. The model
 gives a text the probability
 
-    product over tokens of  P(class | the words before)  *  P(word | class)
+    product over tokens of  (1 - s) * P(class | the words before) * P(word | class)  +  s * (its share of the last words)
+
+where s is COPY_SHARE, or 0 for the first token.
 
 * The class of a word is that of its leading subword id; a causal self-attention model over leading
   subword ids (linkweave.llm.attention) predicts it. The end is a class of its own.
@@ -37,7 +39,9 @@ from linkweave.llm.vocab import SPACE, PieceVocab, WordCodes, text_slices
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
 #: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
 INPUTS, CLASSES = 1024, 64
-ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 3, 96
+ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 2, 96
+#: A word repeats one of so many words before it with this probability, each of them alike.
+COPY_WORDS, COPY_SHARE = 32, 0.06
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
 PULL, LOG10 = 5.0, np.log(10)
 
@@ -53,8 +57,9 @@ def count_words(docs: DataFrame) -> DataFrame:
         counts: Counter = Counter()
         show = lambda: pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8") for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(split_words(text.as_py()))
+            for a, b in text_slices(batch.column(0), BATCH_CHARS):
+                for text in batch.column(0).slice(a, b - a).to_pylist():
+                    counts.update(split_words(text))
                 if len(counts) > FLUSH_WORDS:
                     yield show()
                     counts.clear()
@@ -296,6 +301,27 @@ class Reader:
         return ids, real, goal
 
 
+def copied(codes: list[np.ndarray]) -> np.ndarray:
+    """Of each token of each text, the share of the COPY_WORDS words before it that are the same word; an end is no word."""
+    sizes = np.array([len(c) + 1 for c in codes], np.int64)
+    flat = np.concatenate([np.append(c, -1) for c in codes]) if codes else np.zeros(0, np.int32)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    same = np.zeros(len(flat), np.int32)
+    for k in range(1, min(COPY_WORDS, int(sizes.max(initial=1)) - 1) + 1):
+        same[k:] += (flat[k:] == flat[:-k]) & (place[k:] >= k)
+    same[flat < 0] = 0
+    return same / np.clip(place, 1, COPY_WORDS)
+
+
+def mixed(own: np.ndarray, share: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """log10 of the model's probability mixed with copying; own: the model's log10, first: places of first tokens."""
+    out = own + np.log10(1 - COPY_SHARE)
+    again = share > 0
+    out[again] = np.log10(10 ** out[again] + COPY_SHARE * share[again])
+    out[first] = own[first]
+    return out
+
+
 def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> np.ndarray:
     """Weights trained on windows of every document (text); an average over partitions in each round."""
     spark, flat = docs.sparkSession, attention.initial(INPUTS, model.prior())
@@ -349,16 +375,19 @@ def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7
             for a, b in text_slices(batch.column(2), BATCH_CHARS):
                 texts = batch.column(2).slice(a, b - a).to_pylist()
                 codes = reader.read([split_words(t) for t in texts])
-                by_class = attention.score(p, *reader.sequences(codes))
+                own = attention.score(p, *reader.sequences(codes)) + np.concatenate([np.append(reader.within[c], 0.0) for c in codes])
+                ends = np.cumsum([len(c) + 1 for c in codes])
+                firsts = np.r_[0, ends[:-1]]
+                score = np.add.reduceat(mixed(own, copied(codes), firsts), firsts)
                 rows, tails, sizes = [], [], []
-                for c, s in zip(codes, by_class, strict=True):
+                for c in codes:
                     n = reader.counts[c]
                     rare, times = np.unique(c[n == 0], return_counts=True)
                     tails.append((rare, times))
                     sizes.append(len(rare))
                     known = n[n > 0]
-                    rows.append((len(c) + 1, len(known), float(np.log10(known + 1.0).sum() - len(known) * spread), float(s + reader.within[c].sum())))
-                told, known, base, score = zip(*rows, strict=True)
+                    rows.append((len(c) + 1, len(known), float(np.log10(known + 1.0).sum() - len(known) * spread)))
+                told, known, base = zip(*rows, strict=True)
                 rare = np.concatenate([t[0] for t in tails])
                 tail = pa.StructArray.from_arrays([pa.array([reader.rare[i - reader.first].decode("utf-8") for i in rare.tolist()], pa.string()), pa.array(np.concatenate([t[1] for t in tails]), pa.int64())], ["word", "times"])
                 uid = np.frombuffer(os.urandom(8 * (b - a)), np.int64)  # written before it is used, so it stays
