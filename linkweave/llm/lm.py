@@ -33,13 +33,13 @@ from linkweave.llm import attention
 from linkweave.llm.common import materialize
 from linkweave.llm.quality import crc_mod
 from linkweave.llm.sentencepieces import Merger
-from linkweave.llm.vocab import SPACE, PieceVocab, WordCodes, text_slices
+from linkweave.llm.vocab import SPACE, KeyIndex, PieceVocab, WordCodes, text_slices
 
 #: A frequent word has this share of all tokens at least, so that there are at most 1 / share; likewise for pairs and triples of subwords.
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
 #: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
 INPUTS, CLASSES = 1024, 64
-ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 2, 96
+ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 1, 48
 #: A word repeats one of so many words before it with this probability, each of them alike.
 COPY_WORDS, COPY_SHARE = 32, 0.06
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
@@ -121,16 +121,13 @@ class Table:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(keys)
-        keys, values = keys[order].astype(np.int64), values[order].astype(np.float64)
-        self.keys, self.values = (keys, values) if len(keys) else (np.array([-1]), np.zeros(1))
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(a place for each key, whether the key is there)."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        self.keys, self.values = keys[order].astype(np.int64), values[order].astype(np.float64)
+        if not len(keys):
+            self.keys, self.values = np.array([-1]), np.zeros(1)
+        self.index = KeyIndex(self.keys)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
-        at, hit = self.find(keys)
+        at, hit = self.index.find(keys)
         return np.where(hit, self.values[at], 0.0)
 
 
@@ -170,7 +167,7 @@ class Chain:
     def log10(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         two = self.pairs.get(b * self.width + c) / (self.totals[b] + PULL) + self.rest[b] * self.single[c]
         before = a * self.width + b
-        at, hit = self.contexts.find(before)
+        at, hit = self.contexts.index.find(before)
         seen, kept = np.where(hit, self.contexts.values[at], 0.0), np.where(hit, self.kept_triples[at], 0.0)
         three = np.zeros(len(before))
         three[hit] = self.triples.get(before[hit] * self.width + c[hit])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.vocab import BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, PieceVocab, WordCodes, text_slices
+from linkweave.llm.vocab import BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, KeyIndex, PieceVocab, WordCodes, text_slices
 
 #: Characters encoded at once, and words whose pieces are kept at most (bounded memory of a worker).
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS = 4_000_000, 300_000, 16_000_000
@@ -44,7 +44,7 @@ class Merger:
                     pairs[left * self.width + right] = (levels[vocab.scores[i]], i)
         keys = np.fromiter(pairs, np.int64, len(pairs))
         order = np.argsort(keys)
-        self.keys = keys[order]
+        self.index = KeyIndex(keys[order])
         self.ranks = np.array([v[0] for v in pairs.values()], np.int32)[order]
         self.merged = np.array([v[1] for v in pairs.values()], np.int32)[order]
         self.table = pairs
@@ -54,11 +54,9 @@ class Merger:
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged symbol) of each pair; rank NONE where the pair is no piece."""
-        if not len(self.keys):
+        if not len(self.ranks):
             return np.full(len(left), NONE, np.int32), np.zeros(len(left), np.int32)
-        keys = left.astype(np.int64) * self.width + right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
+        at, hit = self.index.find(left.astype(np.int64) * self.width + right)
         return np.where(hit, self.ranks[at], NONE), self.merged[at]
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -87,3 +87,34 @@ def text_slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
             start, total = i, 0
         total += n
     return [*out, (start, len(texts))] if start < len(texts) else out
+
+
+class KeyIndex:
+    """The places of int64 keys in a sorted array, by hashing; keys that share a slot are searched for."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys if len(keys) else np.array([-1], np.int64)
+        bits = max(4, int(4 * len(self.keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        slot, place = self._slot(self.keys), np.arange(len(self.keys), dtype=np.int32)
+        self.table = np.full(1 << bits, -1, np.int32)
+        self.table[slot[::-1]] = place[::-1]
+        lost = self.table[slot] != place
+        self.late, self.late_at = self.keys[lost], place[lost]
+        self.shared = np.zeros(1 << bits, bool)
+        self.shared[slot[lost]] = True
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a place for each key, whether the key is there)."""
+        slot = self._slot(keys)
+        at = np.maximum(self.table[slot], 0)
+        hit = self.keys[at] == keys
+        if len(self.late):
+            rest = np.flatnonzero(self.shared[slot] & ~hit)
+            place = np.minimum(np.searchsorted(self.late, keys[rest]), len(self.late) - 1)
+            ok = self.late[place] == keys[rest]
+            at[rest[ok]], hit[rest[ok]] = self.late_at[place[ok]], True
+        return at, hit

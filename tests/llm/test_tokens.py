@@ -136,3 +136,15 @@ def test_count_operator(spark):
     assert {(2, 0), (3, 0)} <= got
     assert count_tokens(df, piece_model()).count() == 6
     assert count_tokens(df.limit(0), piece_model()).count() == 0
+
+
+def test_key_index():
+    from linkweave.llm.vocab import KeyIndex
+
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 7, 5000):
+        keys = np.unique(rng.integers(0, 10**13, n))
+        asked = np.r_[keys, rng.integers(0, 10**13, 2000)]
+        at, hit = KeyIndex(keys).find(asked)
+        assert (hit == np.isin(asked, keys)).all()
+        assert (keys[at[hit]] == asked[hit]).all() if n else not hit.any()
