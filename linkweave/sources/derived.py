@@ -25,8 +25,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(S1, the pool of S2 and S3)."""
-    rows = records(spark, sf_dir)
+    """(S1, the pool of S2 and S3). Records are thin beside their texts and each branch of a query reads them, so they are kept."""
+    rows = records(spark, sf_dir).persist()
     return rows.where("src = 1"), rows.where("src > 1")
 
 
