@@ -113,3 +113,14 @@ def test_likeness(spark):
     assert show("aa--", "--bb") == 0.0
     assert show("text:1", "text:1") == 1.0
     assert show("text:1", "aa-bb") == 0.0
+
+
+def test_native_plans_have_no_python(spark):
+    import re
+
+    convs = spark.createDataFrame([(1, 0, "user", "a", "")], TURNS)
+    docs = spark.createDataFrame([(1, "a b c", "", "")], DOCS)
+    frames = [chat.parse_conversations(chat.format_conversations(convs)), licenses.scan_licenses(docs), imatch.fingerprints(docs, "text", ["a", "it's"], "print")]
+    for df in frames:
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+    assert frames[2].count() == 1
