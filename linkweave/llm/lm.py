@@ -10,7 +10,8 @@ where s is COPY_SHARE, or 0 for the first token.
 * The class of a word is that of its leading subword id; a causal self-attention model over leading
   subword ids (linkweave.llm.attention) predicts it. The end is a class of its own.
 * P(word) without context mixes the share of a frequent word among all training words with a trigram
-  chain over the subword ids of rarer words; P(word | class) is its share of the class.
+  chain over the subword ids of all distinct training words, each counted once; P(word | class) is its
+  share of the class.
 
 Word counts, subword counts and classes come from all training documents. The attention model is
 trained on every training document too: each round has its share of them, the partitions train copies
@@ -39,7 +40,8 @@ from linkweave.llm.vocab import SPACE, KeyIndex, PieceVocab, WordCodes, text_sli
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
 #: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
 INPUTS, CLASSES = 1024, 64
-ROUNDS, WINDOWS_A_DOC, STEP_WINDOWS = 2, 1, 48
+#: Each document gives a round one window, or more where there are so few documents that it takes more for LEAST_WINDOWS.
+ROUNDS, LEAST_WINDOWS, STEP_WINDOWS = 2, 40_000, 48
 #: A word repeats one of so many words before it with this probability, each of them alike.
 COPY_WORDS, COPY_SHARE = 32, 0.06
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
@@ -202,7 +204,7 @@ def learn_words(docs: DataFrame, vocab: PieceVocab) -> tuple[WordModel, DataFram
     ends = docs.count()
     least = max(2.0, WORD_SHARE * words)
     frequent = {r[0].encode(): r[1] for r in counts.where(F.col("n") >= least).collect()}  # at most 1 / WORD_SHARE rows
-    chain = Chain.learn(materialize(count_steps(counts.where(F.col("n") < least), vocab)), len(vocab.pieces) + 1)
+    chain = Chain.learn(materialize(count_steps(counts.select("word", F.lit(1).cast("long").alias("n")), vocab)), len(vocab.pieces) + 1)
     pieces = Pieces(vocab)
     flat, sizes = pieces.encode(list(frequent))
     leading = flat[np.cumsum(sizes) - sizes] if len(sizes) else np.zeros(0, np.int32)
@@ -270,13 +272,13 @@ class Reader:
         """(inputs, target classes) of each text: from its start to its end."""
         return [np.r_[0, self.inputs[c]] for c in codes], [np.r_[self.classes[c], CLASSES - 1] for c in codes]
 
-    def some_windows(self, texts: list[str | None], turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(input ids, which are real, target classes or -1) of WINDOWS_A_DOC windows of each text, spread over it."""
+    def some_windows(self, texts: list[str | None], turn: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(input ids, which are real, target classes or -1) of up to `most` windows of each text, spread over it."""
         parts, places = [], []
         for i, t in enumerate(texts):
             words = split_words(t)
             n = -(-(len(words) + 1) // attention.SCORED)
-            for j in {(i * 7919 + turn * 31 + k * (n // WINDOWS_A_DOC + 1)) % n for k in range(WINDOWS_A_DOC)}:
+            for j in sorted({(i * 7919 + turn * 31 + k * (n // most + 1)) % n for k in range(most)}):
                 at = j * attention.SCORED
                 low = max(0, at - attention.CONTEXT - 1)
                 parts.append(words[low : at + attention.SCORED])
@@ -323,6 +325,7 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
     """Weights trained on windows of every document (text); an average over partitions in each round."""
     spark, flat = docs.sparkSession, attention.initial(INPUTS, model.prior())
     sent = spark.sparkContext.broadcast(model)
+    most = -(-LEAST_WINDOWS // max(1, model.ends))
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(flat)
 
@@ -331,7 +334,9 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
             weights = attention.split(adam.flat, INPUTS, CLASSES)
             for batch in batches:
                 for a, b in text_slices(batch.column(0), BATCH_CHARS):
-                    ids, real, goal = reader.some_windows(batch.column(0).slice(a, b - a).to_pylist(), turn)
+                    ids, real, goal = reader.some_windows(batch.column(0).slice(a, b - a).to_pylist(), turn, most)
+                    order = np.random.default_rng(turn).permutation(len(ids))
+                    ids, real, goal = ids[order], real[order], goal[order]
                     for k in range(0, len(ids), STEP_WINDOWS):
                         own = slice(k, k + STEP_WINDOWS)
                         adam.step(attention.gradient(weights, ids[own], real[own], goal[own])[1])
