@@ -26,7 +26,7 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 1, 2, 4, 5, 6), (0, 1, 2, 3, 5, 6
 #: A leak has so many equal words (or four fifths of a shorter item), and this share of its stretch is equal.
 MIN_MATCHED, MIN_SHARE, SHORT_SHARE = 10, 0.7, 0.8
 #: Characters of test items in a block, and of documents that are looked through at once.
-BLOCK_CHARS, BATCH_CHARS = 8_000_000, 4_000_000
+BLOCK_CHARS, BATCH_CHARS = 8_000_000, 1_000_000
 WORD = re.compile(r"\w+")
 
 

@@ -35,7 +35,7 @@ from linkweave.llm.vocab import text_slices
 POSITIONS, CHUNK, PERCENT = 50, 5, 75
 #: Members up to which a bucket's pairs are joined; members of a block in larger buckets.
 SMALL_BUCKET, BLOCK = 64, 64
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 #: Classes whose keys one task makes, about.
 REPS_A_TASK = 20_000
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from linkweave.llm.vocab import BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, KeyIndex, PieceVocab, WordCodes, text_slices
 
 #: Characters encoded at once, and words whose pieces are kept at most (bounded memory of a worker).
-BATCH_CHARS, CACHED_WORDS, CACHED_CHARS = 4_000_000, 300_000, 16_000_000
+BATCH_CHARS, CACHED_WORDS, CACHED_CHARS = 1_000_000, 200_000, 8_000_000
 NONE = np.iinfo(np.int32).max
 
 
