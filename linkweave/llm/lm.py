@@ -14,8 +14,8 @@ where s is COPY_SHARE, or 0 for the first token.
   share of the class.
 
 Word counts, subword counts and classes come from all training documents. The attention model is
-trained on every training document too: each round has its share of them, the partitions train copies
-on windows of their documents, and the copies are averaged.
+trained on all tokens of every training document too: in each round the partitions train copies on all
+windows of their documents, and the copies are averaged.
 """
 
 from __future__ import annotations
@@ -40,8 +40,7 @@ from linkweave.llm.vocab import SPACE, KeyIndex, PieceVocab, WordCodes, text_sli
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
 #: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
 INPUTS, CLASSES = 1024, 64
-#: Each document gives a round one window, or more where there are so few documents that it takes more for LEAST_WINDOWS.
-ROUNDS, LEAST_WINDOWS, STEP_WINDOWS = 2, 40_000, 48
+ROUNDS, STEP_WINDOWS = 2, 48
 #: A word repeats one of so many words before it with this probability, each of them alike.
 COPY_WORDS, COPY_SHARE = 32, 0.06
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
@@ -272,32 +271,12 @@ class Reader:
         """(inputs, target classes) of each text: from its start to its end."""
         return [np.r_[0, self.inputs[c]] for c in codes], [np.r_[self.classes[c], CLASSES - 1] for c in codes]
 
-    def some_windows(self, texts: list[str | None], turn: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(input ids, which are real, target classes or -1) of up to `most` windows of each text, spread over it."""
-        parts, places = [], []
-        for i, t in enumerate(texts):
-            words = split_words(t)
-            n = -(-(len(words) + 1) // attention.SCORED)
-            for j in sorted({(i * 7919 + turn * 31 + k * (n // most + 1)) % n for k in range(most)}):
-                at = j * attention.SCORED
-                low = max(0, at - attention.CONTEXT - 1)
-                parts.append(words[low : at + attention.SCORED])
-                places.append((at, low, len(words)))
-        codes = self.read(parts)
-        ids = np.zeros((len(parts), attention.WINDOW), np.int32)
-        real = np.zeros(ids.shape, bool)
-        goal = np.full((len(parts), attention.SCORED), -1)
-        for k, (c, (at, low, n)) in enumerate(zip(codes, places, strict=True)):
-            start = at - attention.CONTEXT
-            a, b = max(start, 0), min(at + attention.SCORED, n + 1)
-            real[k, a - start : b - start] = True
-            a = max(a, 1)
-            ids[k, a - start : b - start] = self.inputs[c[a - 1 - low : b - 1 - low]]
-            e = min(at + attention.SCORED, n)
-            goal[k, : e - at] = self.classes[c[at - low : e - low]]
-            if e == n < at + attention.SCORED:
-                goal[k, n - at] = CLASSES - 1
-        return ids, real, goal
+    def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(input ids, which are real, target classes or -1) of windows that have each token of the texts as a target once."""
+        inputs, goals = self.sequences(self.read([split_words(t) for t in texts]))
+        index, scored, _ = attention.windows(inputs)
+        ids, goal = np.concatenate(inputs), np.concatenate(goals)
+        return np.where(index < 0, 0, ids[index]).astype(np.int32), index >= 0, np.where(scored, goal[index[:, attention.CONTEXT :]], -1)
 
 
 def copied(codes: list[np.ndarray]) -> np.ndarray:
@@ -322,10 +301,9 @@ def mixed(own: np.ndarray, share: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights trained on windows of every document (text); an average over partitions in each round."""
+    """Weights trained on all tokens of every document (text) in each round; an average over partitions."""
     spark, flat = docs.sparkSession, attention.initial(INPUTS, model.prior())
     sent = spark.sparkContext.broadcast(model)
-    most = -(-LEAST_WINDOWS // max(1, model.ends))
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(flat)
 
@@ -334,7 +312,7 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
             weights = attention.split(adam.flat, INPUTS, CLASSES)
             for batch in batches:
                 for a, b in text_slices(batch.column(0), BATCH_CHARS):
-                    ids, real, goal = reader.some_windows(batch.column(0).slice(a, b - a).to_pylist(), turn, most)
+                    ids, real, goal = reader.windows(batch.column(0).slice(a, b - a).to_pylist())
                     order = np.random.default_rng(turn).permutation(len(ids))
                     ids, real, goal = ids[order], real[order], goal[order]
                     for k in range(0, len(ids), STEP_WINDOWS):
@@ -344,8 +322,7 @@ def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) ->
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(adam.flat * seen, pa.float64()), pa.array(np.full(len(flat), seen), pa.int64())], ["at", "weight", "seen"])
 
-        # each round has its own share of the documents
-        parts = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text").mapInArrow(run, "at int, weight double, seen bigint")
+        parts = docs.select("text").mapInArrow(run, "at int, weight double, seen bigint")
         rows = parts.groupBy("at").agg((F.sum("weight") / F.sum("seen")).alias("weight")).toPandas()  # one row for each weight
         if len(rows):
             flat = np.zeros(len(flat), np.float32)

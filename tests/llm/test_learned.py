@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -159,6 +160,26 @@ def test_the_model_sums_to_one(spark):
     assert model.prior().sum() == pytest.approx(1)
 
 
+def test_attention_is_trained_on_all_tokens_whatever_the_number_of_documents(spark):
+    # each word tells the next; a window a document would be two steps
+    texts = [" ".join(PROSE[0].split()[(i + k) % 12] for k in range(3000)) for i in range(8)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    model, _ = lm.learn_words(docs, lm.PieceVocab.load(piece_model()))
+    flat = lm.train_attention(docs, replace(model, ends=40_000))
+    reader = lm.Reader(model)
+    score = attention.score(attention.split(flat, lm.INPUTS, lm.CLASSES), *reader.sequences(reader.read([lm.split_words(t) for t in texts])))
+    assert score.mean() > np.log10(0.8)
+
+
+def test_windows_have_each_token_once(spark):
+    docs = spark.createDataFrame([(i, prose(i)) for i in range(20)], "doc_id long, text string")
+    reader = lm.Reader(lm.learn_words(docs, lm.PieceVocab.load(piece_model()))[0])
+    texts = [prose(1) * 40, "", None, "the old mill"]
+    _, _, goal = reader.windows(texts)
+    _, want = reader.sequences(reader.read([lm.split_words(t) for t in texts]))
+    assert goal[goal >= 0].tolist() == np.concatenate(want).tolist()
+
+
 def test_cache_is_bounded(spark, monkeypatch):
     docs = spark.createDataFrame([(i, prose(i)) for i in range(20)], "doc_id long, text string")
     model, _ = lm.learn_words(docs, lm.PieceVocab.load(piece_model()))
