@@ -104,6 +104,26 @@ def test_knn_recall(spark):
     assert len(near & exact) >= 0.9 * len(exact)
 
 
+def test_knn_recall_with_the_defaults(spark):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    base = spark.createDataFrame([(i, v.tolist(), "ab"[i % 3 == 0]) for i, v in enumerate(vectors)], "cand_id long, vector array<float>, part string").persist()
+    queries = base.where("cand_id % 20 = 0").withColumnRenamed("cand_id", "s1_id").unionByName(spark.createDataFrame([(-1, vectors[0].tolist(), "c")], "s1_id long, vector array<float>, part string"))
+    exact = {(r["s1_id"], r["cand_id"]) for r in knn.flat_knn(queries, base, 10).collect()}
+    near = {(r["s1_id"], r["cand_id"]) for r in knn.ivf_knn(queries, base, 10).collect()}
+    assert len(near & exact) >= 0.9 * len(exact)
+    assert all((a % 3 == 0) == (b % 3 == 0) for a, b in near)
+
+
+def test_registered_knn_recall(spark):
+    from linkweave.catalog import QUERIES
+
+    for sf in ("sf0.01", "sf0.1"):
+        exact, near = ({(r["s1_id"], r["cand_id"]) for r in QUERIES[q](spark, f"/root/testdata/{sf}").collect()} for q in ("knn_topk", "ivf_knn"))
+        assert len(near & exact) >= 0.9 * len(exact)
+
+
 def test_encoder_is_unit_length_and_pluggable(spark):
     rows = spark.createDataFrame([("a", "some text here"), ("b", "")], "entity_id string, name string")
     got = {r["entity_id"]: np.array(r["vector"]) for r in knn.embed(rows, F.col("name")).collect()}
