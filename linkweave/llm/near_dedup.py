@@ -116,11 +116,12 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def pairs_of_small(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (u, v) across components in one bucket that may be similar.
 
-    Shingles that no other open document has can't be in an intersection, which bounds it.
+    Shingles that no other open text has can't be in an intersection, which bounds it. Texts that
+    share a doc_id have a bound each.
     """
-    own = sets.join(members.select("rep").distinct(), "rep", "left_semi")
-    alone = own.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where("n = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    sizes = own.select("rep", F.size("shingles").alias("n")).join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    own = sets.join(members.select("rep").distinct(), "rep", "left_semi").withColumn("print", F.xxhash64("shingles"))
+    alone = own.select("rep", "print", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("print").alias("print")).where("n = 1").groupBy("rep", "print").agg(F.count("*").alias("alone"))
+    sizes = own.select("rep", "print", F.size("shingles").alias("n")).join(alone, ["rep", "print"], "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
     m = members.join(sizes, "rep")
     a, b = (m.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "n", "shared"))) for s in "ab")
     bound = F.least("shared_a", "shared_b")

@@ -97,6 +97,13 @@ def test_threshold_is_exact(spark):
     assert {r["doc_id"]: r["component_id"] for r in near(spark, rows)} == brute(rows)
 
 
+def test_texts_of_one_doc_id_are_bounded_apart(spark):
+    sets = spark.createDataFrame([(1, list(range(100, 1100))), (1, list(range(20))), (2, list(range(1, 21))), (3, list(range(50, 70)))], "rep long, shingles array<long>")
+    members = spark.createDataFrame([(7, i, 3, i) for i in (1, 2, 3)], "key long, rep long, members long, component long")
+    pairs = nd.pairs_of_small(members, sets)
+    assert [(r["u"], r["v"]) for r in nd.confirm(pairs, sets).collect()] == [(1, 2)]
+
+
 def test_pigeonhole():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**16, (300, nd.POSITIONS), dtype=np.uint16)
