@@ -1,8 +1,8 @@
 """A small causal self-attention model in numpy: one head over subword ids, trained by Adam.
 
 Because attention reads the inputs themselves, queries, keys, values and the residual are tables by
-input id. A position attends to itself and to what stands before it in its window; the output is a
-distribution over classes of what comes next.
+input id, kept side by side in one. A position attends to itself and to what stands before it in its
+window; the output is a distribution over classes of what comes next.
 """
 
 from __future__ import annotations
@@ -11,132 +11,146 @@ import numpy as np
 
 WIDTH, CONTEXT, SCORED = 16, 8, 24
 WINDOW = CONTEXT + SCORED
+QUERY, KEY, VALUE, REST = (slice(k * WIDTH, (k + 1) * WIDTH) for k in range(4))
 HIDDEN, MOST = np.float32(-1e9), np.float32(50)
-ROWS = 256  # windows at once: what is worked on stays in cache
+ROWS = 64  # windows at once: what is worked on stays in cache
 
-
-def shapes(inputs: int, classes: int) -> dict[str, tuple[int, ...]]:
-    return {"q": (inputs, WIDTH), "k": (inputs, WIDTH), "v": (inputs, WIDTH), "r": (inputs, WIDTH), "near": (WINDOW,), "w": (WIDTH, classes), "b": (classes,)}
+_BACK = (np.arange(CONTEXT, WINDOW)[:, None] - np.arange(WINDOW)[None]).clip(0)
+_AHEAD = np.arange(WINDOW)[None] > np.arange(CONTEXT, WINDOW)[:, None]
 
 
-def initial(inputs: int, prior: np.ndarray, seed: int = 0) -> np.ndarray:
-    """All weights in one vector; before training the output is the prior, whatever the input."""
+def initial(inputs: int, prior: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
+    """Weights by name; before training the output is near the prior, whatever the input."""
     rng = np.random.default_rng(seed)
-    w = {n: rng.normal(0, 0.3, s) for n, s in shapes(inputs, len(prior)).items()}
-    w["near"] = -0.1 * np.arange(WINDOW)
-    w["w"] *= 0.1
-    w["b"] = np.log(np.maximum(prior, 1e-9))
-    return np.concatenate([x.ravel() for x in w.values()]).astype(np.float32)
-
+    made = {"table": rng.normal(0, 0.3, (inputs, 4 * WIDTH)), "near": -0.1 * np.arange(WINDOW), "w": np.r_[rng.normal(0, 0.03, (WIDTH, len(prior))), np.log(np.maximum(prior, 1e-9))[None]]}
+    return {n: x.astype(np.float32) for n, x in made.items()}
 
-def split(flat: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for n, s in shapes(inputs, classes).items():
-        size = int(np.prod(s))
-        out[n], at = flat[at : at + size].reshape(s), at + size
-    return out
-
-
-_BACK = (np.arange(CONTEXT, WINDOW)[:, None] - np.arange(WINDOW)[None]).clip(0)
-_AHEAD = np.arange(WINDOW)[None] > np.arange(CONTEXT, WINDOW)[:, None]
-_LATER = np.where(_AHEAD, HIDDEN, np.float32(0))
 
-
-def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index into the joined sequences, or -1; whether a scored position is real; each window's sequence).
+def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into the joined sequences of these sizes, or -1; whether a scored position is real).
 
     Windows overlap by CONTEXT positions, so that each position is scored once.
     """
-    sizes = np.array([len(s) for s in sequences], np.int64)
+    sizes = np.asarray(sizes, np.int64)
     times = -(-sizes // SCORED)
     owner = np.repeat(np.arange(len(sizes)), times)
     nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     local = nth[:, None] * SCORED + np.arange(-CONTEXT, SCORED)[None]
     ok = (local >= 0) & (local < sizes[owner][:, None])
     index = np.where(ok, local + (np.cumsum(sizes) - sizes)[owner][:, None], -1)
-    return index, ok[:, CONTEXT:], owner
+    return index, ok[:, CONTEXT:]
+
+
+def _norm(x: np.ndarray) -> float:
+    return float(np.sqrt(np.einsum("...i,...i->...", x, x).max(initial=0)))
 
 
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(logits, log of their exponentials' sum, attention, hidden) for windows of input ids; real: which positions hold an input.
+    """(logits, attention powers, 1 / their sums, what they read, hidden, scaled queries, table rows) for
+    windows of input ids; real: which positions hold an input.
 
-    Scores and logits are held within MOST instead of being shifted by their maximum, and sums are
-    products with ones: both far cheaper over short rows.
+    Logits and scores aren't shifted by their maximum, and sums are products with ones: both far
+    cheaper over short rows. Where the norms don't rule out large values, they are held within MOST.
+    Powers stay undivided; only what they read is divided by their sum.
+    """
+    rows = p["table"][ids]
+    q, k = rows[:, CONTEXT:, QUERY] * np.float32(WIDTH**-0.5), rows[:, :, KEY]
+    scores = q @ k.transpose(0, 2, 1)
+    if _norm(q) * _norm(k) > MOST:
+        np.minimum(scores, MOST, out=scores)
+    scores += np.where(_AHEAD, HIDDEN, np.minimum(p["near"], MOST / 2)[_BACK])
+    some = np.flatnonzero(~real.all(1))
+    scores[some] += np.where(real[some], np.float32(0), HIDDEN)[:, None]
+    powers = np.exp(scores, out=scores)
+    each = 1 / np.maximum(powers @ np.ones(WINDOW, powers.dtype), np.float32(1e-30))[:, :, None]
+    read = (powers @ rows[:, :, VALUE]) * each
+    hidden = np.ones((read.shape[0] * SCORED, WIDTH + 1), read.dtype)  # the last is for the biases
+    hidden[:, :WIDTH] = (read + rows[:, CONTEXT:, REST]).reshape(-1, WIDTH)
+    logits = hidden @ p["w"]
+    if _norm(hidden) * _norm(p["w"].T) > MOST:
+        np.minimum(logits, MOST, out=logits)
+    return logits, powers, each, read, hidden, q, rows
+
+
+def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, sizes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two log10 probabilities of each position of the joined sequences of these sizes.
+
+    leads tells which classes begin a word. The first is that of the target class, among the classes
+    that begin a word if it is one of them; the second that a word begins there, or 0 within a word.
     """
-    scores = p["q"][ids[:, CONTEXT:]] @ p["k"][ids].transpose(0, 2, 1)
-    scores *= np.float32(WIDTH**-0.5)
-    scores += p["near"][_BACK]
-    np.minimum(scores, MOST, out=scores)
-    scores += _LATER
-    if not real.all():
-        scores += np.where(real, np.float32(0), HIDDEN)[:, None]
-    a = np.exp(scores, out=scores)
-    a /= np.maximum(a @ np.ones(WINDOW, a.dtype), np.float32(1e-30))[:, :, None]
-    h = a @ p["v"][ids]
-    h += p["r"][ids[:, CONTEXT:]]
-    logits = h.reshape(-1, WIDTH) @ p["w"]
-    logits += p["b"]
-    np.clip(logits, -MOST, MOST, out=logits)
-    return logits, np.log(np.exp(logits) @ np.ones(logits.shape[1], logits.dtype)), a, h
-
-
-def score(p: dict[str, np.ndarray], inputs: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
-    """The log10 probability of each target class, all sequences joined."""
-    if not inputs:
-        return np.zeros(0)
-    index, scored, _ = windows(inputs)
-    ids, wanted = np.concatenate(inputs), np.concatenate(targets)
-    out = np.empty(len(ids))
+    index, scored = windows(sizes)
+    own, begins = np.empty(len(inputs)), np.zeros(len(inputs))
+    both = np.stack([np.ones(len(leads)), leads], 1).astype(np.float32)
     for a in range(0, len(index), ROWS):
         at = index[a : a + ROWS]
-        logits, whole, *_ = forward(p, np.where(at < 0, 0, ids[at]), at >= 0)
-        own = scored[a : a + ROWS].ravel()
-        place = at[:, CONTEXT:].ravel()[own]
-        out[place] = logits[own, wanted[place]] - whole[own]
-    return out / np.log(10)
-
-
-def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal: np.ndarray) -> tuple[float, np.ndarray]:
-    """(mean loss, gradient of all weights) over the scored positions of windows; goal is -1 where there is none."""
-    logits, whole, a, h = forward(p, ids, real)
-    logp = logits - whole[:, None]
+        logits = forward(p, inputs[at], at >= 0)[0]
+        real = scored[a : a + ROWS].ravel()
+        place = at[:, CONTEXT:].ravel()[real]
+        goal = classes[place]
+        told = logits[real, goal]
+        sums = np.log(np.maximum(np.exp(logits, out=logits) @ both, np.float32(1e-30)))[real]
+        first = leads[goal]
+        own[place] = told - np.where(first, sums[:, 1], sums[:, 0])
+        begins[place] = np.where(first, sums[:, 1] - sums[:, 0], 0)
+    return own / np.log(10), begins / np.log(10)
+
+
+def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+    """(mean loss, gradient of the weights, the table rows that its part of the table stands for) over the
+    scored positions of windows; goal is -1 where there is none."""
+    logits, powers, each, read, hidden, q, rows = forward(p, ids, real)
     goal = goal.ravel()
     own = np.flatnonzero(goal >= 0)
     n = max(1, len(own))
-    g = np.exp(logp)
-    g[own, goal[own]] -= 1
-    g[goal < 0] = 0
-    g /= n
-    flat_h = h.reshape(-1, WIDTH)
-    d = {"w": flat_h.T @ g, "b": g.sum(0)}
-    gh = (g @ p["w"].T).reshape(h.shape)
-    q, k, v = p["q"][ids[:, CONTEXT:]], p["k"][ids], p["v"][ids]
-    ga = gh @ v.transpose(0, 2, 1)
-    gs = a * (ga - (ga * a).sum(2, keepdims=True))
-    d["near"] = np.bincount(_BACK.ravel(), np.where(_AHEAD, 0, gs.sum(0)).ravel(), WINDOW)
-    gs *= np.float32(WIDTH**-0.5)
-    for name, at, own_g in (("q", ids[:, CONTEXT:], gs @ k), ("k", ids, gs.transpose(0, 2, 1) @ q), ("v", ids, a.transpose(0, 2, 1) @ gh), ("r", ids[:, CONTEXT:], gh)):
-        d[name] = summed(at.ravel(), own_g.reshape(-1, WIDTH), p[name])
-    names = list(p)
-    return float(-logp[own, goal[own]].mean()) if len(own) else 0.0, np.concatenate([d[x].ravel() for x in names]).astype(np.float32)
-
-
-def summed(at: np.ndarray, rows: np.ndarray, like: np.ndarray) -> np.ndarray:
-    """The sums of rows by row number `at`, in an array like `like`."""
-    out, order = np.zeros_like(like), np.argsort(at, kind="stable")
+    told = logits[own, goal[own]]
+    g = np.exp(logits, out=logits)
+    whole = g @ np.ones(g.shape[1], g.dtype)
+    g[own, goal[own]] -= whole[own]  # g is that of the logits, times whole and n
+    scale = ((goal >= 0) / (whole * n)).astype(read.dtype)[:, None]
+    d = {"w": (hidden * scale).T @ g}
+    gh = ((g @ p["w"][:WIDTH].T) * scale).reshape(read.shape)
+    k, v = rows[:, :, KEY], rows[:, :, VALUE]
+    ghz = gh * each
+    gs = ghz @ v.transpose(0, 2, 1)
+    gs -= np.einsum("ijk,ijk->ij", ghz, read)[:, :, None]
+    gs *= powers
+    d["near"] = np.bincount(_BACK.ravel(), np.where(_AHEAD, 0, gs.sum(0)).ravel(), WINDOW).astype(read.dtype)
+    out = np.zeros_like(rows)
+    out[:, CONTEXT:, QUERY] = (gs @ k) * np.float32(WIDTH**-0.5)
+    out[:, :, KEY] = gs.transpose(0, 2, 1) @ q
+    out[:, :, VALUE] = powers.transpose(0, 2, 1) @ ghz
+    out[:, CONTEXT:, REST] = gh
+    at, d["table"] = summed(ids.ravel(), out.reshape(-1, out.shape[2]))
+    return float((np.log(whole[own]) - told).sum()) / n, d, at
+
+
+def summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct row numbers, the sums of their rows)."""
+    if len(at) and at.max() < 1 << 16:
+        at = at.astype(np.uint16)  # sorted by digits
+    order = np.argsort(at, kind="stable")
     own = at[order]
     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    out[own[starts]] = np.add.reduceat(rows[order], starts, axis=0)
-    return out
+    return own[starts].astype(np.int64), np.add.reduceat(rows[order], starts, axis=0)
 
 
 class Adam:
-    def __init__(self, flat: np.ndarray, rate: float = 0.02) -> None:
-        self.flat, self.rate, self.t = flat.copy(), rate, 0
-        self.m, self.s = np.zeros_like(flat), np.zeros_like(flat)
+    """Steps of the weights; of the table only the rows that a step reads are moved, and their moments with them."""
+
+    def __init__(self, p: dict[str, np.ndarray], rate: float = 0.02) -> None:
+        self.p, self.rate, self.t = {n: x.copy() for n, x in p.items()}, rate, 0
+        self.m, self.s = ({n: np.zeros_like(x) for n, x in p.items()} for _ in range(2))
+        self.seen = np.zeros(len(p["table"]), bool)
 
-    def step(self, g: np.ndarray) -> None:
+    def step(self, d: dict[str, np.ndarray], at: np.ndarray) -> None:
         self.t += 1
-        self.m += 0.1 * (g - self.m)
-        self.s += 0.01 * (g * g - self.s)
-        self.flat -= self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.s / (1 - 0.99**self.t)) + 1e-6)
+        rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t))
+        self.seen[at] = True
+        for n, g in d.items():
+            own = at if n == "table" else slice(None)
+            m, s = self.m[n][own], self.s[n][own]
+            m += np.float32(0.1) * (g - m)
+            s += np.float32(0.01) * (g * g - s)
+            if n == "table":
+                self.m[n][own], self.s[n][own] = m, s
+            self.p[n][own] -= rate * m / (np.sqrt(s) + np.float32(1e-6))

@@ -1,21 +1,23 @@
 """Language-model scoring of whole texts.
 
-Tokens are words (runs of anything but ASCII white space, A-Z in lower case) and one end. The model
-gives a text the probability
+Tokens are words (runs of anything but ASCII white space, A-Z in lower case) and one end. A text is
+the sequence of the subword ids of its words, then the end. The model gives it the probability
 
-    product over tokens of  (1 - s) * P(class | the words before) * P(word | class)  +  s * (its share of the last words)
+    product over tokens of  (1 - s) * ((1 - t) * A(word | all before) + t * B(word | all before))  +  s * (its share of the last words)
 
-where s is COPY_SHARE, or 0 for the first token.
+where t is WHOLE_SHARE and s is COPY_SHARE, or 0 for the first token. Both A and B are read off the
+causal self-attention model (linkweave.llm.attention), which reads every subword id of the text and
+predicts every next one in two levels: the class by attention, the id by its share of the class. A
+class holds ids that begin a word, or ids within words.
 
-* The class of a word is that of its leading subword id; a causal self-attention model over leading
-  subword ids (linkweave.llm.attention) predicts it. The end is a class of its own.
-* P(word) without context mixes the share of a frequent word among all training words with a trigram
-  chain over the subword ids of all distinct training words, each counted once; P(word | class) is its
-  share of the class.
+* A is the product over the word's ids, and the probability that another word, or the end, begins then.
+* B takes only the class of the word's first id from the attention, and the whole word by its share of
+  that class. These shares mix those of frequent words among all training words with a trigram chain
+  over the subword ids of all distinct training words, each counted once.
 
 Word counts, subword counts and classes come from all training documents. The attention model is
-trained on all tokens of every training document too: in each round the partitions train copies on all
-windows of their documents, and the copies are averaged.
+trained on all tokens of every training document: in each of TURNS rounds the partitions train copies
+on all windows of that round's documents, and the copies are averaged, row by row.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain as joined
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +41,12 @@ from linkweave.llm.vocab import SPACE, KeyIndex, PieceVocab, WordCodes, text_sli
 
 #: A frequent word has this share of all tokens at least, so that there are at most 1 / share; likewise for pairs and triples of subwords.
 WORD_SHARE, PAIR_SHARE = 1e-6, 1e-6
-#: Input ids (the most frequent leading subwords and one for the rest) and classes, with the end.
-INPUTS, CLASSES = 1024, 64
-ROUNDS, STEP_WINDOWS = 2, 48
+#: Classes of subword ids: the most frequent ids have one each; the rest share two, by whether they begin a word; the last is the end's.
+CLASSES = 256
+#: Each training document is in one of so many rounds. Windows in a step of training, and its rate in the first round.
+TURNS, STEP_WINDOWS, RATE = 2, 128, 0.04
+#: The share of words that are predicted as wholes.
+WHOLE_SHARE = 0.6
 #: A word repeats one of so many words before it with this probability, each of them alike.
 COPY_WORDS, COPY_SHARE = 32, 0.06
 BATCH_CHARS, CACHED_WORDS, CACHED_CHARS, FLUSH_WORDS = 4_000_000, 500_000, 16_000_000, 1_000_000
@@ -90,31 +96,33 @@ class Pieces:
 
 
 def count_steps(counts: DataFrame, vocab: PieceVocab) -> DataFrame:
-    """a, b, c, n: subword id c after a and b, over words (word, n), each as often as it occurs."""
+    """a, b, c, n, tokens: how often subword id c follows a and b in distinct words, and in all words (word, n)."""
     src, width = counts.select("word", "n"), len(vocab.pieces) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(vocab)
-        total: Counter = Counter()
+        total, tokens = Counter(), Counter()
 
         def show() -> pa.RecordBatch:
             keys = np.fromiter(total, np.int64, len(total))
             ids = (keys // width // width, keys // width % width, keys % width)
-            return pa.RecordBatch.from_arrays([*(pa.array(i.astype(np.int32)) for i in ids), pa.array(list(total.values()), pa.int64())], ["a", "b", "c", "n"])
+            return pa.RecordBatch.from_arrays([*(pa.array(i.astype(np.int32)) for i in ids), pa.array(list(total.values()), pa.int64()), pa.array([tokens[k] for k in total], pa.int64())], ["a", "b", "c", "n", "tokens"])
 
         for batch in batches:
             flat, sizes = pieces.encode([w.encode() for w in batch.column(0).to_pylist()])
             a, b, c = pieces.steps(flat, sizes)
             n = np.repeat(batch.column(1).to_numpy(), sizes + 1)
             keys, at = np.unique((a * width + b) * width + c, return_inverse=True)
-            total.update(dict(zip(keys.tolist(), np.bincount(at, n).astype(np.int64).tolist(), strict=True)))
+            total.update(dict(zip(keys.tolist(), np.bincount(at).tolist(), strict=True)))
+            tokens.update(dict(zip(keys.tolist(), np.bincount(at, n).astype(np.int64).tolist(), strict=True)))
             if len(total) > FLUSH_WORDS:
                 yield show()
                 total.clear()
+                tokens.clear()
         if total:
             yield show()
 
-    return src.mapInArrow(run, "a int, b int, c int, n bigint").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(run, "a int, b int, c int, n bigint, tokens bigint").groupBy("a", "b", "c").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
 
 
 class Table:
@@ -186,14 +194,22 @@ class WordModel:
     distinct: int
     ends: int
     chain_share: float
-    class_of: np.ndarray  # by subword id
-    input_of: np.ndarray
-    class_share: np.ndarray  # without the end, which is the last class
+    class_of: np.ndarray  # by subword id, with the end
+    leads: np.ndarray  # which classes begin a word
+    class_share: np.ndarray
+    within: np.ndarray  # log10 of an id's share of its class
+    begun: np.ndarray  # log10 of the share of words that begin with an id of the class
 
-    def prior(self) -> np.ndarray:
-        out = self.class_share * max(1, self.tokens - self.ends) / max(1, self.tokens)
-        out[-1] = max(1, self.ends) / max(1, self.tokens)
-        return out / out.sum()
+
+def classes_of(share: np.ndarray, leading: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each id, which classes begin a word) by the shares of ids; the last id is the end."""
+    class_of = np.where(leading, CLASSES - 2, CLASSES - 3)
+    class_of[np.argsort(-share[:-1], kind="stable")[: CLASSES - 3]] = np.arange(min(CLASSES - 3, len(share) - 1))
+    class_of[-1] = CLASSES - 1
+    leads = np.zeros(CLASSES, bool)
+    leads[class_of[leading]] = True
+    leads[CLASSES - 2 :] = True
+    return class_of, leads
 
 
 def learn_words(docs: DataFrame, vocab: PieceVocab) -> tuple[WordModel, DataFrame]:
@@ -203,131 +219,165 @@ def learn_words(docs: DataFrame, vocab: PieceVocab) -> tuple[WordModel, DataFram
     ends = docs.count()
     least = max(2.0, WORD_SHARE * words)
     frequent = {r[0].encode(): r[1] for r in counts.where(F.col("n") >= least).collect()}  # at most 1 / WORD_SHARE rows
-    chain = Chain.learn(materialize(count_steps(counts.select("word", F.lit(1).cast("long").alias("n")), vocab)), len(vocab.pieces) + 1)
-    pieces = Pieces(vocab)
-    flat, sizes = pieces.encode(list(frequent))
-    leading = flat[np.cumsum(sizes) - sizes] if len(sizes) else np.zeros(0, np.int32)
-    common = sum(frequent.values())
-    chain_share = (words - common + 1.0) / (words + 1.0)
-    # the share of each leading subword
-    share = np.bincount(leading, np.array(list(frequent.values()), float), pieces.end + 1) * (1 - chain_share) / max(1, common)
-    everything = np.arange(pieces.end + 1)
-    share += chain_share * 10 ** chain.log10(np.full(len(everything), pieces.end), np.full(len(everything), pieces.end), everything)
-    order = np.argsort(-share[: pieces.end], kind="stable")
-    class_of = np.full(pieces.end + 1, CLASSES - 2)
-    class_of[order[: CLASSES - 2]] = np.arange(CLASSES - 2)
-    input_of = np.full(pieces.end + 1, INPUTS - 1)
-    input_of[order[: INPUTS - 2]] = np.arange(1, INPUTS - 1)  # 0 is the start of a text
+    width = len(vocab.pieces) + 1
+    steps = materialize(count_steps(counts, vocab))
+    chain = Chain.learn(steps, width)
+    chain_share = (words - sum(frequent.values()) + 1.0) / (words + 1.0)
+    share = np.full(width, 0.1)
+    for c, n in steps.groupBy("c").agg(F.sum("tokens")).collect():  # at most one row for each id
+        share[c] += n
+    share[-1] = max(1, ends)
+    class_of, leads = classes_of(share, np.array([p.startswith(SPACE) for p in vocab.pieces] + [True]))
     class_share = np.bincount(class_of, share, CLASSES)
-    return WordModel(vocab, chain, frequent, words + ends, distinct + (ends > 0), ends, chain_share, class_of, input_of, class_share), counts
+    within = np.log10(share) - np.log10(class_share[class_of])
+    flat, sizes = Pieces(vocab).encode(list(frequent))
+    first = flat[np.cumsum(sizes) - sizes] if len(sizes) else flat
+    begun = np.bincount(first, np.array(list(frequent.values()), float), width) * (1 - chain_share) / max(1, sum(frequent.values()))
+    begun += chain_share * 10 ** chain.log10(*(np.full(width, width - 1),) * 2, np.arange(width))
+    begun = np.log10(np.maximum(np.bincount(class_of, begun, CLASSES), 1e-300))
+    return WordModel(vocab, chain, frequent, words + ends, distinct + (ends > 0), ends, chain_share, class_of, leads, class_share / class_share.sum(), within, begun), counts
 
 
 class Reader:
-    """Words of texts as inputs, classes and log10 P(word | class). Those of frequent words come with the
-    model; those of rarer words are kept up to a bound."""
-
-    def __init__(self, model: WordModel) -> None:
-        self.model, self.pieces, self.common = model, Pieces(model.vocab), max(1, sum(model.frequent.values()))
-        self.base, self.first, self.codes, self.rare = {}, 0, WordCodes(), []
-        self.inputs, self.classes, self.within, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64)
-        if model.frequent:
-            self.base = {w: i for i, w in enumerate(model.frequent)}
-            self.told = tuple(self.describe(list(self.base)))
-        else:
-            self.told = (self.inputs, self.classes, self.within, self.counts)
+    """Words of texts as codes, and what is known of each code; words are kept up to a bound.
+
+    Code 0 is the end. With `told`, words get their share of their first id's class and their training counts.
+    """
+
+    def __init__(self, model: WordModel, told: bool = False) -> None:
+        self.model, self.told, self.pieces, self.common = model, told, Pieces(model.vocab), max(1, sum(model.frequent.values()))
         self.clear()
 
     def clear(self) -> None:
-        self.codes, self.rare, self.chars, self.first = WordCodes(self.base), [], 0, len(self.base)
-        self.inputs, self.classes, self.within, self.counts = self.told
+        self.codes, self.names, self.chars = WordCodes({b"": 0}), [b""], 0
+        self.ids, self.sizes = np.array([self.pieces.end], np.int32), np.ones(1, np.int64)
+        self.alone, self.counts = np.zeros(1), np.zeros(1, np.int64)
 
-    def describe(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
-        """(inputs, classes, log10 P(word | class), training counts of frequent words)."""
-        m = self.model
-        flat, sizes = self.pieces.encode(words)
-        ends = np.cumsum(sizes)
-        leading = flat[ends - sizes]
-        chain = np.add.reduceat(m.chain.log10(*self.pieces.steps(flat, sizes)), ends - sizes + np.arange(len(sizes)))
-        n = np.fromiter((m.frequent.get(w, 0) for w in words), np.int64, len(words))
-        share = (1 - m.chain_share) * n / self.common + m.chain_share * 10**chain
-        classes = m.class_of[leading]
-        within = np.where(share > 1e-290, np.log10(np.maximum(share, 1e-300)), np.log10(m.chain_share) + chain) - np.log10(m.class_share[classes])
-        return m.input_of[leading].astype(np.int32), classes.astype(np.int32), within, n
-
-    def read(self, listed: list[list[bytes]]) -> list[np.ndarray]:
-        """The codes of the words of each text."""
-        if len(self.codes) - self.first > CACHED_WORDS or self.chars > CACHED_CHARS:
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(the codes of all texts' tokens, how many each text has)."""
+        if len(self.codes) > CACHED_WORDS or self.chars > CACHED_CHARS:
             self.clear()
-        code_of = self.codes.__getitem__
-        out = [np.fromiter(map(code_of, words), np.int32, len(words)) for words in listed]
+        listed = [split_words(t) for t in texts]
+        sizes = np.array([len(words) + 1 for words in listed], np.int64)
+        codes = np.zeros(sizes.sum(), np.int32)
+        own = np.ones(len(codes), bool)
+        own[np.cumsum(sizes) - 1] = False
+        codes[own] = np.fromiter(map(self.codes.__getitem__, joined.from_iterable(listed)), np.int32, int(own.sum()))
         if fresh := self.codes.fresh:
             self.chars += sum(map(len, fresh))
-            self.rare += fresh
-            self.inputs, self.classes, self.within, self.counts = (np.concatenate(x) for x in zip((self.inputs, self.classes, self.within, self.counts), self.describe(fresh), strict=True))
+            self.names += fresh
+            ids, many = self.pieces.encode(fresh)
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, many])
+            if self.told:
+                alone, counts = self.describe(fresh, ids, many)
+                self.alone, self.counts = np.concatenate([self.alone, alone]), np.concatenate([self.counts, counts])
             self.codes.fresh = []
-        return out
+        return codes, sizes
 
-    def sequences(self, codes: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """(inputs, target classes) of each text: from its start to its end."""
-        return [np.r_[0, self.inputs[c]] for c in codes], [np.r_[self.classes[c], CLASSES - 1] for c in codes]
+    def describe(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 of their share of the words that begin with an id of the same class, training counts of frequent words)."""
+        m = self.model
+        steps = np.add.reduceat(m.chain.log10(*self.pieces.steps(ids, sizes)), np.cumsum(sizes) - sizes + np.arange(len(sizes)))
+        n = np.fromiter((m.frequent.get(w, 0) for w in words), np.int64, len(words))
+        share = (1 - m.chain_share) * n / self.common + m.chain_share * 10**steps
+        first = m.class_of[ids[np.cumsum(sizes) - sizes]]
+        return np.where(share > 1e-290, np.log10(np.maximum(share, 1e-300)), np.log10(m.chain_share) + steps) - m.begun[first], n
+
+    def sequences(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(the id before each position, the id there, positions of each text, where tokens start) of all texts; the end stands before a text too."""
+        many = self.sizes[codes]
+        starts = np.cumsum(many) - many
+        goal = self.ids[np.repeat((np.cumsum(self.sizes) - self.sizes)[codes] - starts, many) + np.arange(many.sum())]
+        before = np.r_[self.pieces.end, goal[:-1]].astype(np.int32) if len(goal) else goal
+        return before, goal, np.add.reduceat(many, np.cumsum(sizes) - sizes) if len(sizes) else sizes, starts
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(input ids, which are real, target classes or -1) of windows that have each token of the texts as a target once."""
-        inputs, goals = self.sequences(self.read([split_words(t) for t in texts]))
-        index, scored, _ = attention.windows(inputs)
-        ids, goal = np.concatenate(inputs), np.concatenate(goals)
-        return np.where(index < 0, 0, ids[index]).astype(np.int32), index >= 0, np.where(scored, goal[index[:, attention.CONTEXT :]], -1)
+        """(input ids, which are real, target classes or -1) of windows that have each position of the texts as a target once."""
+        before, goal, sizes, _ = self.sequences(*self.read(texts))
+        index, scored = attention.windows(sizes)
+        return before[index], index >= 0, np.where(scored, self.model.class_of[goal][index[:, attention.CONTEXT :]], -1)
 
 
-def copied(codes: list[np.ndarray]) -> np.ndarray:
+def copied(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of each token of each text, the share of the COPY_WORDS words before it that are the same word; an end is no word."""
-    sizes = np.array([len(c) + 1 for c in codes], np.int64)
-    flat = np.concatenate([np.append(c, -1) for c in codes]) if codes else np.zeros(0, np.int32)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    same = np.zeros(len(flat), np.int32)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    same = np.zeros(len(codes), np.int32)
     for k in range(1, min(COPY_WORDS, int(sizes.max(initial=1)) - 1) + 1):
-        same[k:] += (flat[k:] == flat[:-k]) & (place[k:] >= k)
-    same[flat < 0] = 0
+        same[k:] += (codes[k:] == codes[:-k]) & (place[k:] >= k)
+    same[codes == 0] = 0
     return same / np.clip(place, 1, COPY_WORDS)
 
 
-def mixed(own: np.ndarray, share: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 of the model's probability mixed with copying; own: the model's log10, first: places of first tokens."""
-    out = own + np.log10(1 - COPY_SHARE)
+def mixed(by_ids: np.ndarray, whole: np.ndarray, share: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """log10 of the mixture of A, B (both as log10) and copying; first: places of first tokens, which copy nothing."""
+    own = np.logaddexp(by_ids * LOG10 + np.log1p(-WHOLE_SHARE), whole * LOG10 + np.log(WHOLE_SHARE))
+    out = own + np.log1p(-COPY_SHARE)
     again = share > 0
-    out[again] = np.log10(10 ** out[again] + COPY_SHARE * share[again])
+    out[again] = np.logaddexp(out[again], np.log(COPY_SHARE * share[again]))
     out[first] = own[first]
+    return out / LOG10
+
+
+def token_scores(reader: Reader, weights: dict[str, np.ndarray], codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of A and of B for each token."""
+    m = reader.model
+    before, goal, many, starts = reader.sequences(codes, sizes)
+    own, begins = attention.score(weights, before, m.class_of[goal], many, m.leads)
+    begins[np.cumsum(many) - many] = 0  # a text begins with a token for certain
+    return np.add.reduceat(own + m.within[goal] + np.r_[begins[1:], 0.0], starts), own[starts] + reader.alone[codes]
+
+
+ROW = 4 * attention.WIDTH
+
+
+def as_rows(p: dict[str, np.ndarray], seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, rows) of the table's seen rows, and of all other weights in rows from -1 down."""
+    rest = np.concatenate([x.ravel() for n, x in p.items() if n != "table"])
+    rest = np.pad(rest, (0, -len(rest) % ROW)).reshape(-1, ROW)
+    at = np.flatnonzero(seen)
+    return np.r_[at, -1 - np.arange(len(rest))], np.concatenate([p["table"][at], rest])
+
+
+def with_rows(p: dict[str, np.ndarray], at: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
+    """p with these rows, the inverse of as_rows."""
+    out = {n: x.copy() for n, x in p.items()}
+    out["table"][at[at >= 0]] = rows[at >= 0]
+    rest, start = rows[at < 0][np.argsort(-at[at < 0])].ravel(), 0
+    for n, x in out.items():
+        if n != "table" and len(rest):
+            x[...] = rest[start : start + x.size].reshape(x.shape)
+            start += x.size
     return out
 
 
-def train_attention(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights trained on all tokens of every document (text) in each round; an average over partitions."""
-    spark, flat = docs.sparkSession, attention.initial(INPUTS, model.prior())
+def train_attention(docs: DataFrame, model: WordModel, turns: int = TURNS) -> dict[str, np.ndarray]:
+    """Weights trained on all tokens of every document (text, turn); an average over partitions in each turn."""
+    spark, weights = docs.sparkSession, attention.initial(len(model.class_of), model.class_share)
     sent = spark.sparkContext.broadcast(model)
-    for turn in range(rounds):
-        start = spark.sparkContext.broadcast(flat)
+    for turn in range(turns):
+        start = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
-            reader, adam, seen = Reader(sent.value), attention.Adam(start.value, 0.03 / (1 + 2 * turn)), 0
-            weights = attention.split(adam.flat, INPUTS, CLASSES)
+            reader, adam, seen = Reader(sent.value), attention.Adam(start.value, RATE / (1 + 2 * turn)), 0
             for batch in batches:
                 for a, b in text_slices(batch.column(0), BATCH_CHARS):
                     ids, real, goal = reader.windows(batch.column(0).slice(a, b - a).to_pylist())
                     order = np.random.default_rng(turn).permutation(len(ids))
-                    ids, real, goal = ids[order], real[order], goal[order]
                     for k in range(0, len(ids), STEP_WINDOWS):
-                        own = slice(k, k + STEP_WINDOWS)
-                        adam.step(attention.gradient(weights, ids[own], real[own], goal[own])[1])
+                        own = order[k : k + STEP_WINDOWS]
+                        adam.step(*attention.gradient(adam.p, ids[own], real[own], goal[own])[1:])
                     seen += len(ids)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(adam.flat * seen, pa.float64()), pa.array(np.full(len(flat), seen), pa.int64())], ["at", "weight", "seen"])
+                at, rows = as_rows(adam.p, adam.seen)
+                flat = pa.array(rows.ravel().astype(np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.FixedSizeListArray.from_arrays(flat, ROW).cast(pa.list_(pa.float64())), pa.array(np.full(len(at), seen), pa.int64())], ["at", "row", "seen"])
 
-        parts = docs.select("text").mapInArrow(run, "at int, weight double, seen bigint")
-        rows = parts.groupBy("at").agg((F.sum("weight") / F.sum("seen")).alias("weight")).toPandas()  # one row for each weight
-        if len(rows):
-            flat = np.zeros(len(flat), np.float32)
-            flat[rows["at"].to_numpy()] = rows["weight"].to_numpy()
-    return flat
+        parts = docs.where(F.col("turn") == turn).select("text").mapInArrow(run, "at int, row array<double>, seen bigint")
+        means = [(F.sum(F.col("row")[k] * F.col("seen")) / F.sum("seen")).alias(f"w{k}") for k in range(ROW)]
+        got = parts.groupBy("at").agg(*means).toPandas()  # at most a row for each subword id
+        if len(got):
+            weights = with_rows(weights, got["at"].to_numpy(), got.drop(columns="at").to_numpy(np.float32))
+    return weights
 
 
 def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7, 2)) -> DataFrame:
@@ -341,41 +391,37 @@ def score_texts(docs: DataFrame, model_path: str, held_out: tuple[int, int] = (7
     spark: SparkSession = docs.sparkSession
     modulus, rest = held_out
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_mod(F.col("doc_id"), modulus) == rest, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
-    train = src.where("NOT held_out")
+    train = src.where("NOT held_out").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(TURNS)).alias("turn"))
     model, counts = learn_words(train, PieceVocab.load(model_path))
-    flat = train_attention(train, model)
-    sent = spark.sparkContext.broadcast((model, flat))
+    weights = train_attention(train, model)
+    sent = spark.sparkContext.broadcast((model, weights))
     spread = np.log10(model.tokens + model.distinct + 1) if model.tokens else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = sent.value
-        reader, p = Reader(words), attention.split(weights, INPUTS, CLASSES)
+        words, p = sent.value
+        reader = Reader(words, told=True)
         for batch in batches:
             for a, b in text_slices(batch.column(2), BATCH_CHARS):
-                texts = batch.column(2).slice(a, b - a).to_pylist()
-                codes = reader.read([split_words(t) for t in texts])
-                own = attention.score(p, *reader.sequences(codes)) + np.concatenate([np.append(reader.within[c], 0.0) for c in codes])
-                ends = np.cumsum([len(c) + 1 for c in codes])
-                firsts = np.r_[0, ends[:-1]]
-                score = np.add.reduceat(mixed(own, copied(codes), firsts), firsts)
-                rows, tails, sizes = [], [], []
-                for c in codes:
-                    n = reader.counts[c]
-                    rare, times = np.unique(c[n == 0], return_counts=True)
-                    tails.append((rare, times))
-                    sizes.append(len(rare))
-                    known = n[n > 0]
-                    rows.append((len(c) + 1, len(known), float(np.log10(known + 1.0).sum() - len(known) * spread)))
-                told, known, base = zip(*rows, strict=True)
-                rare = np.concatenate([t[0] for t in tails])
-                tail = pa.StructArray.from_arrays([pa.array([reader.rare[i - reader.first].decode("utf-8") for i in rare.tolist()], pa.string()), pa.array(np.concatenate([t[1] for t in tails]), pa.int64())], ["word", "times"])
-                uid = np.frombuffer(os.urandom(8 * (b - a)), np.int64)  # written before it is used, so it stays
+                codes, sizes = reader.read(batch.column(2).slice(a, b - a).to_pylist())
+                ends = np.cumsum(sizes)
+                firsts = ends - sizes
+                tokens = mixed(*token_scores(reader, p, codes, sizes), copied(codes, sizes), firsts)
+                score = np.add.reduceat(tokens, firsts)
+                n = reader.counts[codes]
+                known = np.add.reduceat((n > 0).astype(np.int64), firsts)
+                base = np.add.reduceat(np.where(n > 0, np.log10(n + 1.0) - spread, 0.0), firsts)
+                rare = np.flatnonzero((n == 0) & (codes > 0))
+                owner = np.repeat(np.arange(len(sizes)), sizes)[rare]
+                keys, times = np.unique(owner * np.int64(len(reader.names)) + codes[rare], return_counts=True)
+                owner, code = np.divmod(keys, len(reader.names))
+                tail = pa.StructArray.from_arrays([pa.array([reader.names[i].decode("utf-8") for i in code.tolist()], pa.string()), pa.array(times, pa.int64())], ["word", "times"])
+                uid = pa.array([os.urandom(16) for _ in range(b - a)], pa.binary())  # written before it is used, so it stays
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(uid), pa.array(told, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), tail),
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), uid, pa.array(sizes), pa.array(known), pa.array(base), pa.array(score),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(b - a + 1)), pa.int32()), tail),
                 ], ["doc_id", "held_out", "uid", "n_tokens", "known", "base", "score", "tail"])
 
-    schema = "doc_id bigint, held_out boolean, uid bigint, n_tokens bigint, known bigint, base double, score double, tail array<struct<word:string,times:bigint>>"
+    schema = "doc_id bigint, held_out boolean, uid binary, n_tokens bigint, known bigint, base double, score double, tail array<struct<word:string,times:bigint>>"
     scored = materialize(src.mapInArrow(run, schema))
     # rarer words meet their counts by a join; none of them has more than WORD_SHARE of the training words
     tail = scored.select("uid", F.explode("tail").alias("t")).select("uid", "t.word", "t.times").join(counts, "word", "left")

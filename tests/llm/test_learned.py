@@ -2,7 +2,6 @@
 
 import zlib
 from collections import Counter
-from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -84,39 +83,50 @@ def test_without_labels_or_rows(labelled):
 
 def test_gradient():
     rng = np.random.default_rng(0)
-    prior = np.full(5, 0.2)
-    flat = attention.initial(20, prior).astype(np.float64)
+    p = {n: x.astype(np.float64) for n, x in attention.initial(20, np.full(5, 0.2)).items()}
     ids, real = rng.integers(0, 20, (3, attention.WINDOW)), rng.random((3, attention.WINDOW)) < 0.9
     real[:, attention.CONTEXT] = True
     goal = rng.integers(-1, 5, (3, attention.SCORED))
-    loss = lambda w: attention.gradient(attention.split(w, 20, 5), ids, real, goal)[0]
-    g = attention.gradient(attention.split(flat, 20, 5), ids, real, goal)[1]
-    for k in rng.choice(len(flat), 60, replace=False):
-        up, down = flat.copy(), flat.copy()
-        up[k] += 1e-4
-        down[k] -= 1e-4
-        assert g[k] == pytest.approx((loss(up) - loss(down)) / 2e-4, abs=2e-4)
+    _, d, at = attention.gradient(p, ids, real, goal)
+    whole = {n: g for n, g in d.items() if n != "table"} | {"table": np.zeros_like(p["table"])}
+    whole["table"][at] = d["table"]
+    for n, x in p.items():
+        for k in rng.choice(x.size, min(x.size, 30), replace=False):
+            told = []
+            for move in (1e-4, -1e-4):
+                q = {m: y.copy() for m, y in p.items()}
+                q[n].ravel()[k] += move
+                told.append(attention.gradient(q, ids, real, goal)[0])
+            assert whole[n].ravel()[k] == pytest.approx((told[0] - told[1]) / 2e-4, abs=2e-4)
+
+
+def test_large_weights_stay_finite():
+    p = {n: 30 * x for n, x in attention.initial(20, np.full(5, 0.2)).items()}
+    rng = np.random.default_rng(0)
+    loss, d, _ = attention.gradient(p, rng.integers(0, 20, (3, attention.WINDOW)), rng.random((3, attention.WINDOW)) < 0.5, rng.integers(-1, 5, (3, attention.SCORED)))
+    assert np.isfinite(loss)
+    assert all(np.isfinite(g).all() for g in d.values())
+    own, begins = attention.score(p, rng.integers(0, 20, 50), rng.integers(0, 5, 50), np.array([20, 30]), np.arange(5) > 2)
+    assert np.isfinite(own).all()
+    assert np.isfinite(begins).all()
 
 
 def test_windows_score_each_position_once():
-    sizes = [1, 5, attention.SCORED, attention.SCORED + 1, 100]
-    index, scored, owner = attention.windows([np.zeros(n) for n in sizes])
-    own = index[:, attention.CONTEXT :][scored]
-    assert sorted(own.tolist()) == list(range(sum(sizes)))
-    assert np.bincount(owner).tolist() == [1, 1, 1, 2, 5]
+    sizes = np.array([1, 5, attention.SCORED, attention.SCORED + 1, 100])
+    index, scored = attention.windows(sizes)
+    assert sorted(index[:, attention.CONTEXT :][scored].tolist()) == list(range(sizes.sum()))
+    assert len(index) == 1 + 1 + 1 + 2 + 5
 
 
 def test_attention_looks_back_only():
-    p = attention.split(attention.initial(30, np.full(4, 0.25), 1), 30, 4)
+    p = attention.initial(30, np.full(4, 0.25), 1)
     rng = np.random.default_rng(1)
     ids, real = rng.integers(0, 30, (1, attention.WINDOW)), np.ones((1, attention.WINDOW), bool)
-    show = lambda: (lambda logits, whole, *_: logits - whole[:, None])(*attention.forward(p, ids, real))
-    a = show()
+    a = attention.forward(p, ids, real)[0]
     ids[0, -1] = (ids[0, -1] + 1) % 30
-    b = show()
+    b = attention.forward(p, ids, real)[0]
     assert np.allclose(a[:-1], b[:-1])
     assert not np.allclose(a[-1], b[-1])
-    assert np.allclose(np.exp(a).sum(1), 1, atol=1e-5)
 
 
 TEXTS = [(i, prose(i) if i % 9 else f"Rare{i} wörd\tx", "clash", "clash") for i in range(300)] + [(301, None, None, None), (302, "", None, None), (None, "the OLD mill", None, None), (5, prose(5), None, None)]
@@ -150,48 +160,134 @@ def test_scores_are_probabilities_and_better_than_the_base(scored):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_the_model_sums_to_one(spark):
-    docs = spark.createDataFrame([(i, prose(i)) for i in range(50)], "doc_id long, text string")
+@pytest.fixture(scope="module")
+def learnt(spark):
+    docs = spark.createDataFrame([(prose(i), i % 2) for i in range(60)], "text string, turn int")
     model, _ = lm.learn_words(docs, lm.PieceVocab.load(piece_model()))
+    return model, lm.train_attention(docs, model)
+
+
+def test_the_model_sums_to_one(learnt):
+    model, _ = learnt
     ids = np.arange(model.chain.width)
     end = model.chain.width - 1
     for a, b in ((end, end), (end, int(ids[5000])), (300, 400)):
         assert (10 ** model.chain.log10(np.full(len(ids), a), np.full(len(ids), b), ids)).sum() == pytest.approx(1, abs=1e-6)
-    assert model.prior().sum() == pytest.approx(1)
+    assert model.class_share.sum() == pytest.approx(1)
+    assert np.allclose(np.bincount(model.class_of, 10**model.within, lm.CLASSES)[np.unique(model.class_of)], 1)
+    begins = np.array([p.startswith("▁") for p in model.vocab.pieces] + [True])
+    assert (model.leads[model.class_of] == begins).all()
+
+
+def test_scores_by_brute_force(learnt):
+    model, p = learnt
+    pieces = lm.Pieces(model.vocab)
+    common = sum(model.frequent.values())
+    texts = [prose(3), "", "the the zebra quiet mill mill", None, "x " * 60]
+    reader = lm.Reader(model, told=True)
+    codes, sizes = reader.read(texts)
+    firsts = np.cumsum(sizes) - sizes
+    got = lm.mixed(*lm.token_scores(reader, p, codes, sizes), lm.copied(codes, sizes), firsts)
+    want = []
+    for text in texts:
+        words = lm.split_words(text)
+        cut = [pieces.encode([w])[0].tolist() for w in words] + [[pieces.end]]
+        flat = [pieces.end, *(x for c in cut for x in c)]
+
+        def predicted(t, flat=flat):
+            """The classes' probabilities for flat[t + 1]."""
+            seen = flat[max(0, t // attention.SCORED * attention.SCORED - attention.CONTEXT) : t + 1]
+            rows = p["table"][seen].astype(float)
+            scores = np.array([rows[-1, attention.QUERY] @ r[attention.KEY] / 4 + p["near"][len(seen) - 1 - i] for i, r in enumerate(rows)])
+            a = np.exp(scores - scores.max())
+            h = a / a.sum() @ rows[:, attention.VALUE] + rows[-1, attention.REST]
+            out = np.exp(np.append(h, 1) @ p["w"].astype(float))
+            return out / out.sum()
+
+        t = 0
+        for i, own in enumerate(cut):
+            by_ids = whole = 1.0
+            for k, x in enumerate(own):
+                c = predicted(t)
+                if k == 0:
+                    c = c * model.leads / (c * model.leads).sum()
+                    whole = c[model.class_of[x]]
+                by_ids *= c[model.class_of[x]] * 10 ** model.within[x]
+                t += 1
+            if i < len(words):
+                by_ids *= (predicted(t) * model.leads).sum()
+                n = model.frequent.get(words[i], 0)
+                steps = [pieces.end, pieces.end, *own, pieces.end]
+                share = (1 - model.chain_share) * n / common + model.chain_share * 10 ** sum(model.chain.log10(*(np.array([x]) for x in steps[j : j + 3]))[0] for j in range(len(steps) - 2))
+                whole *= share / 10 ** model.begun[model.class_of[own[0]]]
+            told = (1 - lm.WHOLE_SHARE) * by_ids + lm.WHOLE_SHARE * whole
+            last = words[max(0, i - lm.COPY_WORDS) : i] if i < len(words) else []
+            if i:
+                told = (1 - lm.COPY_SHARE) * told + lm.COPY_SHARE * (last.count(words[i]) / len(last) if last else 0)
+            want.append(np.log10(told))
+    assert np.allclose(got, want, atol=1e-3)
 
 
 def test_attention_is_trained_on_all_tokens_whatever_the_number_of_documents(spark):
-    # each word tells the next; a window a document would be two steps
-    texts = [" ".join(PROSE[0].split()[(i + k) % 12] for k in range(3000)) for i in range(8)]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    # each word tells the next; a window a document would be few steps
+    texts = [" ".join(PROSE[0].split()[(i + k) % 12] for k in range(3000)) for i in range(32)]
+    docs = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "text string, turn int").coalesce(1)
     model, _ = lm.learn_words(docs, lm.PieceVocab.load(piece_model()))
-    flat = lm.train_attention(docs, replace(model, ends=40_000))
-    reader = lm.Reader(model)
-    score = attention.score(attention.split(flat, lm.INPUTS, lm.CLASSES), *reader.sequences(reader.read([lm.split_words(t) for t in texts])))
-    assert score.mean() > np.log10(0.8)
+    reader = lm.Reader(model, told=True)
+    weights = lm.train_attention(docs, model)
+    by_ids, whole = lm.token_scores(reader, weights, *reader.read(texts))
+    assert min(by_ids.mean(), whole.mean()) > np.log10(0.8)
 
 
-def test_windows_have_each_token_once(spark):
-    docs = spark.createDataFrame([(i, prose(i)) for i in range(20)], "doc_id long, text string")
-    reader = lm.Reader(lm.learn_words(docs, lm.PieceVocab.load(piece_model()))[0])
+def test_every_training_document_is_in_one_turn(spark, monkeypatch):
+    told = {}
+    monkeypatch.setattr(lm, "learn_words", lambda docs, _: told.update(all=docs.collect()) or (_ for _ in ()).throw(KeyError))
+    with pytest.raises(KeyError):
+        lm.score_texts(spark.createDataFrame(TEXTS, DOCS), piece_model())
+    assert sorted(str(r["text"]) for r in told["all"]) == sorted(str(t) for i, t, *_ in TEXTS if i is None or zlib.crc32(str(i).encode()) % 7 != 2)
+    assert {r["turn"] for r in told["all"]} == set(range(lm.TURNS))
+
+
+def test_windows_have_each_position_once(learnt):
+    model, _ = learnt
+    reader = lm.Reader(model)
     texts = [prose(1) * 40, "", None, "the old mill"]
     _, _, goal = reader.windows(texts)
-    _, want = reader.sequences(reader.read([lm.split_words(t) for t in texts]))
-    assert goal[goal >= 0].tolist() == np.concatenate(want).tolist()
+    pieces = lm.Pieces(model.vocab)
+    want = [x for t in texts for x in [*(pieces.encode(lm.split_words(t))[0].tolist()), pieces.end]]
+    assert goal[goal >= 0].tolist() == model.class_of[want].tolist()
+
+
+def test_rows_and_back():
+    p = attention.initial(50, np.full(7, 1 / 7))
+    q = {n: x + 1 for n, x in p.items()}
+    seen = np.arange(50) % 3 == 0
+    at, rows = lm.as_rows(q, seen)
+    order = np.random.default_rng(0).permutation(len(at))
+    back = lm.with_rows(p, at[order], rows[order])
+    assert all((back[n] == q[n]).all() for n in p if n != "table")
+    assert (back["table"] == np.where(seen[:, None], q["table"], p["table"])).all()
+
+
+def test_cache_is_bounded(learnt, monkeypatch):
+    model, p = learnt
+    texts = [prose(i) + f" new{i} other{i}" for i in range(10)]
+    whole = lm.Reader(model, told=True)
+    want = [lm.token_scores(whole, p, *whole.read([t])) for t in texts]
+    monkeypatch.setattr(lm, "CACHED_WORDS", 2)
+    small = lm.Reader(model, told=True)
+    for t, told in zip(texts, want, strict=True):
+        assert np.allclose(lm.token_scores(small, p, *small.read([t])), told)
 
 
-def test_cache_is_bounded(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, prose(i)) for i in range(20)], "doc_id long, text string")
-    model, _ = lm.learn_words(docs, lm.PieceVocab.load(piece_model()))
-    texts = [lm.split_words(prose(i) + f" new{i} other{i}") for i in range(10)]
-    whole = lm.Reader(model)
-    want = [(whole.inputs[c], whole.within[c]) for c in whole.read(texts)]
-    monkeypatch.setattr(lm, "CACHED_WORDS", 2)
-    small = lm.Reader(model)
-    for t, (inputs, within) in zip(texts, want):
-        c = small.read([t])[0]
-        assert (small.inputs[c] == inputs).all()
-        assert np.allclose(small.within[c], within)
+def test_a_very_long_text(learnt):
+    model, p = learnt
+    reader = lm.Reader(model, told=True)
+    long = prose(1) * 300
+    codes, sizes = reader.read([long, "the old mill"])
+    both = lm.token_scores(reader, p, codes, sizes)
+    assert len(both[0]) == len(lm.split_words(long)) + 1 + 4
+    assert np.isfinite(both).all()
 
 
 def test_no_training_documents(spark):
@@ -203,13 +299,14 @@ def test_no_training_documents(spark):
 
 def test_copies_by_brute_force():
     rng = np.random.default_rng(3)
-    texts = [rng.integers(0, 6, n).astype(np.int32) for n in (0, 1, 2, 50, 200)]
+    texts = [rng.integers(1, 7, n).astype(np.int32) for n in (0, 1, 2, 50, 200)]
     want = []
     for c in texts:
         for i in range(len(c) + 1):
             last = c[max(0, i - lm.COPY_WORDS) : i]
             want.append((last == c[i]).sum() / max(1, len(last)) if i < len(c) else 0)
-    assert np.allclose(lm.copied(texts), want)
-    own, first = np.array([-1.0, -2.0, -3.0]), np.array([0])
-    s = lm.COPY_SHARE
-    assert np.allclose(10 ** lm.mixed(own, np.array([0.0, 0.5, 0.0]), first), [0.1, (1 - s) * 0.01 + s * 0.5, (1 - s) * 0.001])
+    assert np.allclose(lm.copied(np.concatenate([np.append(c, 0) for c in texts]), np.array([len(c) + 1 for c in texts])), want)
+    a, b, first = np.array([-1.0, -2.0, -3.0]), np.array([-2.0, -2.0, -1.0]), np.array([0])
+    s, t = lm.COPY_SHARE, lm.WHOLE_SHARE
+    own = (1 - t) * 10**a + t * 10**b
+    assert np.allclose(10 ** lm.mixed(a, b, np.array([0.0, 0.5, 0.0]), first), [own[0], (1 - s) * own[1] + s * 0.5, (1 - s) * own[2]])
