@@ -30,11 +30,6 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def fewer(df: DataFrame, by: int = 8) -> DataFrame:
-    """df in an eighth of the shuffle partitions, for tables far smaller than the corpus: fewer files."""
-    return df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // by))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = shared_dir(df.sparkSession)

@@ -12,7 +12,7 @@ Candidates are confirmed on full sets, and no pair is confirmed twice over where
 2. Each member of a bucket (the documents of one key) is confirmed against the bucket's smallest
    member. These links already join most copies.
 3. Only buckets whose members are still in several components are left. There every pair across
-   components is confirmed: in small buckets by a join, less the pairs that a bound on the
+   components is confirmed: in small buckets pair by pair, less those that a bound on the
    intersection rules out; in large ones block against block, so that rows grow with the blocks.
    Afterwards no pair that shares a key is unlinked, unless it is confirmed to be below the threshold.
 """
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import fewer, materialize
+from linkweave.llm.common import materialize
 from linkweave.llm.components import connected_components
 from linkweave.llm.shingles import Shingler, mix, signatures
 from linkweave.llm.vocab import text_slices
@@ -36,6 +36,8 @@ POSITIONS, CHUNK, PERCENT = 50, 5, 75
 #: Members up to which a bucket's pairs are joined; members of a block in larger buckets.
 SMALL_BUCKET, BLOCK = 64, 64
 BATCH_CHARS = 1_000_000
+#: Pairs, and shingles of two blocks, that are looked at together.
+PAIRS_AT_ONCE, VALUES_AT_ONCE = 1_000_000, 8192
 #: Classes whose keys one task makes, about.
 REPS_A_TASK = 20_000
 
@@ -122,20 +124,46 @@ def pairs_of_small(members: DataFrame, sets: DataFrame) -> DataFrame:
     own = sets.join(members.select("rep").distinct(), "rep", "left_semi").withColumn("print", F.xxhash64("shingles"))
     alone = own.select("rep", "print", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("print").alias("print")).where("n = 1").groupBy("rep", "print").agg(F.count("*").alias("alone"))
     sizes = own.select("rep", "print", F.size("shingles").alias("n")).join(alone, ["rep", "print"], "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-    m = members.join(sizes, "rep")
-    a, b = (m.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "n", "shared"))) for s in "ab")
-    bound = F.least("shared_a", "shared_b")
-    open_pairs = (F.col("component_a") < F.col("component_b")) & similar(bound, F.col("n_a"), F.col("n_b"))
-    return a.join(b, "key").where(open_pairs).select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v")).distinct()
+    docs = members.join(sizes, "rep").groupBy("key").agg(F.collect_list(F.struct("rep", "component", "n", "shared")).alias("docs")).select("docs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(0).value_lengths().to_numpy().astype(np.int64)
+            rep, component, n, shared = (x.to_numpy() for x in batch.column(0).flatten().flatten())
+            for a, b in pair_places(sizes):
+                bound = np.minimum(shared[a], shared[b])
+                ok = (component[a] < component[b]) & (bound * 100 >= (n[a] + n[b] - bound) * PERCENT)
+                u, v = rep[a[ok]], rep[b[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    return docs.mapInArrow(run, "u bigint, v bigint").distinct()
+
+
+def pair_places(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of first, places of second) of all ordered pairs within groups of the given sizes, joined end to end; a bounded number at once."""
+    if not len(sizes):
+        return
+    ends = np.cumsum(sizes)
+    step = np.cumsum(sizes * sizes) // PAIRS_AT_ONCE
+    for own in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(step)) + 1):
+        size, first = sizes[own], ends[own] - sizes[own]
+        a = np.repeat(np.arange(first[0], first[0] + size.sum()), np.repeat(size, size))
+        start = np.repeat(first, size * size)
+        nth = np.arange(len(a)) - np.repeat(np.cumsum(size * size) - size * size, size * size)
+        yield a, start + nth % np.repeat(size, size * size)
 
 
 def links_of_large(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (u, v) across components in buckets of many members, confirmed block against block."""
+    """Links (u, v) across components in buckets of many members, confirmed block against block.
+
+    Each pair of blocks is a join key of its own, so that one bucket's work is spread.
+    """
     n = F.ceil(F.col("members") / BLOCK)
-    rows = members.withColumn("block", F.pmod(F.xxhash64("rep"), n)).join(sets, "rep")
-    blocks = rows.groupBy("key", "block").agg(F.collect_list(F.struct("rep", "component", "shingles")).alias("docs"))
-    blocks = materialize(fewer(blocks, 2))
-    pairs = blocks.join(blocks.select("key", F.col("block").alias("other"), F.col("docs").alias("others")), "key").where("block <= other").select("docs", "others")
+    rows = members.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks")).join(sets, "rep")
+    blocks = materialize(rows.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("rep", "component", "shingles")).alias("docs")))
+    first = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    second = blocks.select("key", F.col("block").alias("other"), F.col("docs").alias("others"))
+    pairs = first.join(second, ["key", "other"]).select("docs", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,11 +187,15 @@ def block_links(reps: np.ndarray, comps: np.ndarray, sizes: np.ndarray, flat: np
     if comps.min() == comps.max() == comps2.min() == comps2.max():
         return []
     values, code = np.unique(np.r_[flat, flat2], return_inverse=True)
-    a = np.zeros((len(reps), len(values)), np.float32)
-    b = np.zeros((len(reps2), len(values)), np.float32)
-    a[np.repeat(np.arange(len(reps)), sizes), code[: len(flat)]] = 1
-    b[np.repeat(np.arange(len(reps2)), sizes2), code[len(flat) :]] = 1
-    both = np.rint(a @ b.T).astype(np.int64)
+    row = np.r_[np.repeat(np.arange(len(reps)), sizes), len(reps) + np.repeat(np.arange(len(reps2)), sizes2)]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    both = np.zeros((len(reps), len(reps2)), np.int64)
+    for k in range(0, len(values), VALUES_AT_ONCE):  # so many shingles at once, so that long texts need no more memory
+        lo, hi = np.searchsorted(code, (k, k + VALUES_AT_ONCE))
+        has = np.zeros((len(reps) + len(reps2), VALUES_AT_ONCE), np.float32)
+        has[row[lo:hi], code[lo:hi] - k] = 1
+        both += np.rint(has[: len(reps)] @ has[len(reps) :].T).astype(np.int64)
     ok = (both * 100 >= (sizes[:, None] + sizes2[None] - both) * PERCENT) & (comps[:, None] != comps2[None])
     return [(int(min(reps[i], reps2[j])), int(max(reps[i], reps2[j]))) for i, j in np.argwhere(ok)]
 
@@ -178,12 +210,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed = materialize(sign(docs))
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"))
-    classes = materialize(fewer(classes))
+    classes = materialize(classes)
     # a row makes many keys: small parts keep what a task gathers small
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() // REPS_A_TASK)
     rows = buckets(classes.select("rep", "signature").repartition(parts))
     hubs = rows.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    open_rows = materialize(fewer(rows.join(hubs, "key"), 2))
+    open_rows = materialize(rows.join(hubs, "key"))
     wanted = open_rows.select("rep").distinct()
     sets = materialize(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")))
     stars = open_rows.where("hub <> rep").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
@@ -191,10 +223,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # buckets whose members are in several components
     members = open_rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "members", F.coalesce("component", "rep").alias("component"))
     several = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    members = materialize(fewer(members.join(several, "key", "left_semi")))
+    members = materialize(members.join(several, "key", "left_semi"))
     small = confirm(pairs_of_small(members.where(F.col("members") <= SMALL_BUCKET), sets), sets)
     large = links_of_large(members.where(F.col("members") > SMALL_BUCKET), sets)
-    more = materialize(fewer(small.unionByName(large)))
+    more = materialize(small.unionByName(large))
     if not more.isEmpty():
         found = connected_components(more.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     of_class = classes.select("fingerprint", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))

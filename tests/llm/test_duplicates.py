@@ -104,6 +104,38 @@ def test_texts_of_one_doc_id_are_bounded_apart(spark):
     assert [(r["u"], r["v"]) for r in nd.confirm(pairs, sets).collect()] == [(1, 2)]
 
 
+def test_pair_places_are_all_pairs_of_groups(monkeypatch):
+    monkeypatch.setattr(nd, "PAIRS_AT_ONCE", 20)
+    sizes = np.array([3, 0, 1, 5, 2, 4, 4], np.int64)
+    got = sorted((int(x), int(y)) for a, b in nd.pair_places(sizes) for x, y in zip(a, b, strict=True))
+    ends = np.cumsum(sizes)
+    assert got == sorted((x, y) for e, s in zip(ends, sizes, strict=True) for x in range(e - s, e) for y in range(e - s, e))
+    assert list(nd.pair_places(np.zeros(0, np.int64))) == []
+
+
+def test_blocks_of_long_texts_are_counted_in_slices(monkeypatch):
+    monkeypatch.setattr(nd, "VALUES_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    base = np.arange(40)
+    left, right = ([np.unique(np.r_[base[rng.random(40) < 0.88], rng.integers(100, 130, 2)]) for _ in range(n)] for n in (6, 9))
+    got = nd.block_links(np.arange(6), np.arange(6), np.array([*map(len, left)]), np.concatenate(left), np.arange(6, 15), np.arange(6, 15), np.array([*map(len, right)]), np.concatenate(right))
+    want = {(i, 6 + j) for i, x in enumerate(left) for j, y in enumerate(right) if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))}
+    assert set(got) == want
+    assert 0 < len(want) < 54
+
+
+def test_a_bucket_of_near_misses(spark):
+    """Many documents that share keys, but reach the threshold only in pairs."""
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(70)]
+    rows = []
+    for i in range(150):
+        own = [f"d{i}_{k}" for k in range(20)]
+        rows.append((2 * i, " ".join(common + own)))
+        rows.append((2 * i + 1, " ".join([*common, *own[:18], f"e{rng.randrange(9)}", "f"])))
+    assert {r["doc_id"]: r["component_id"] for r in near(spark, rows)} == brute(rows)
+
+
 def test_pigeonhole():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**16, (300, nd.POSITIONS), dtype=np.uint16)
