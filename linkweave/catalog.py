@@ -1,6 +1,7 @@
 """The registry of queries over the driver's tables, with their oracle SQL.
 
-Records come from documents (linkweave.sources.derived); the limits fit those small tables.
+Records come from documents (linkweave.sources.derived). The caps of keys are the operators' own; the share of
+a key, the fallback and the number of candidates fit those small tables.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from linkweave.sources.derived import records, sides, truth
 from linkweave.sources.tables import candidate_lists as to_lists
 from linkweave.sources.tables import record_stats, union_sources
 
-LIMITS = token_block.Limits(0.05, 100, 1.0, 100, 1.0, 100, fallback=5)
+LIMITS = token_block.Limits(0.05, 5000, 1.0, 5000, 1.0, 5000, fallback=5)
 CAP, QUOTA, NEIGHBOURS = 5, 0.3, 10
 THRESHOLDS, CAPS, RANKS = [0.2, 0.4, 0.6, 0.8], [1, 2, 4], [2, 5]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,23 +50,23 @@ def over_records(f: Callable[[DataFrame], DataFrame]) -> Callable:
 
 @over_records
 def normalize_names(r):
-    return r.select("entity_id", "name", "address")
+    return r.select("entity_id", "text")
 
 
 @over_records
 def token_sets(r):
-    return r.select("entity_id", F.array_join(T.token_set(F.col("name")), " ").alias("tokens"))
+    return r.select("entity_id", F.array_join(T.token_set(F.col("text")), " ").alias("tokens"))
 
 
 @over_records
 def token_pairs(r):
-    pairs = T.token_pairs(T.token_set(F.col("name")))
+    pairs = T.token_pairs(T.token_set(F.col("text")))
     return r.select("entity_id", F.size(pairs).alias("n_pairs"), F.array_join(pairs, "|").alias("pairs"))
 
 
 @over_records
 def char_shingles(r):
-    grams = T.char_ngrams(T.record_text(F.col("name"), F.col("address")))
+    grams = T.char_ngrams(F.col("text"))
     return r.select("entity_id", F.size(grams).alias("n_shingles"), F.md5(F.array_join(F.array_sort(grams), "|").cast("binary")).alias("shingles_md5"))
 
 
@@ -110,7 +111,7 @@ def source_union(r):
 
 
 def _source_tokens(r, src):
-    return r.where(F.col("src") == src).select("country", F.explode(T.token_set(F.col("name"))).alias("token"))
+    return r.where(F.col("src") == src).select("country", F.explode(T.token_set(F.col("text"))).alias("token"))
 
 
 @over_records
@@ -181,9 +182,14 @@ def candidate_lists(s1, pool):
 # LSH
 
 
+def _whole(r):
+    """Records whose only field is the whole text."""
+    return r.select("entity_id", "country", F.col("text").alias("name"), F.lit("").alias("address"))
+
+
 @over_records
 def minhash_signature(r):
-    return lsh.signatures(r).select("entity_id", F.array_join("signature", "-").alias("signature"))
+    return lsh.signatures(_whole(r)).select("entity_id", F.array_join("signature", "-").alias("signature"))
 
 
 @query
@@ -194,7 +200,7 @@ def lsh_parameters(spark, sf_dir):
 
 @over_records
 def lsh_bands(r):
-    return lsh.band_keys(lsh.signatures(r), *lsh.best_bands(0.3)).select("entity_id", "band", "key")
+    return lsh.band_keys(lsh.signatures(_whole(r)), *lsh.best_bands(0.3)).select("entity_id", "band", "key")
 
 
 @over_sides
@@ -238,8 +244,12 @@ def sparse_knn(s1, pool):
 # fusion
 
 
+def _blocked(s1, pool):
+    return hybrid_block_scored(s1, pool).select("s1_id", "cand_id", "score"), lsh.lsh_block(s1, pool).withColumnRenamed("hits", "score"), sparse_knn(s1, pool)
+
+
 def _ranked(s1, pool):
-    return fusion.stack(hybrid_block_scored(s1, pool).select("s1_id", "cand_id", "score"), lsh.lsh_block(s1, pool).withColumnRenamed("hits", "score"), sparse_knn(s1, pool))
+    return fusion.stack(*_blocked(s1, pool))
 
 
 @over_sides
@@ -254,27 +264,32 @@ def rrf_fusion(s1, pool):
 
 @over_sides
 def prune_opt(s1, pool):
-    return fusion.prune_core_safe(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+    return fusion.prune("core_safe", *_blocked(s1, pool), CAP, QUOTA)
 
 
 @over_sides
 def prune_ranked(s1, pool):
-    return fusion.prune_ranked(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+    return fusion.prune("ranked", *_blocked(s1, pool), CAP, QUOTA)
 
 
 @over_sides
 def prune_p1p3(s1, pool):
-    return fusion.prune_without_lsh(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+    return fusion.prune("without_lsh", *_blocked(s1, pool), CAP, QUOTA)
 
 
 @over_sides
 def prune_agreement(s1, pool):
-    return fusion.prune_agreement(fusion.fold(_ranked(s1, pool)), CAP, QUOTA)
+    return fusion.prune("agreement", *_blocked(s1, pool), CAP, QUOTA)
+
+
+@over_sides
+def prune_by_hits(s1, pool):
+    return fusion.prune("by_hits", *_blocked(s1, pool), CAP, QUOTA)
 
 
 @over_sides
 def prune_core_first(s1, pool):
-    return fusion.prune_core_first(fusion.fold(_ranked(s1, pool)), CAP)
+    return fusion.prune("core_first", *_blocked(s1, pool), CAP, QUOTA)
 
 
 # features and decisions
@@ -391,7 +406,7 @@ def _queries(s1, pool):
 
 @over_sides
 def recall_report(s1, pool):
-    return metrics.recall_report(_queries(s1, pool), 100)
+    return metrics.recall_report(_queries(s1, pool), pool.count())
 
 
 @over_sides

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.operators import learn, metrics, validate
+from linkweave.operators.fusion import POLICIES
 from linkweave.operators.lsh import lsh_block
 from linkweave.operators.token_block import Limits, hybrid_block
 from linkweave.plans import resolution
@@ -24,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("s1", "s2", "s3", "output"):
         block.add_argument(f"--{name}", required=True)
     block.add_argument("--blocker", choices=["token", "lsh", "fused"], default="fused")
+    block.add_argument("--policy", choices=[*POLICIES], default="ranked")
     block.add_argument("--ids-file")
     block.add_argument("--limit", type=int)
     block.add_argument("--max-rows-per-source", type=int)
@@ -36,7 +38,7 @@ def parser() -> argparse.ArgumentParser:
     block.add_argument("--n-gram", type=int, default=3)
     block.add_argument("--threshold", type=float, default=0.3)
     block.add_argument("--num-perm", type=int, default=64)
-    block.add_argument("--min-band-hits", type=int, default=1)
+    block.add_argument("--min-band-hits", type=int, help="1 for lsh, 2 for fused")
     block.add_argument("--max-candidates", type=int, default=1500)
     block.add_argument("--p3-top-k", type=int, default=500)
     block.add_argument("--p3-slack-quota", type=float, default=0.10)
@@ -131,9 +133,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         if o.blocker == "token":
             found, order = hybrid_block(s1, pool, limits), "cand_id"
         elif o.blocker == "lsh":
-            found, order = lsh_block(s1, pool, o.threshold, o.num_perm, o.n_gram, o.min_band_hits, o.max_candidates), "cand_id"
+            found, order = lsh_block(s1, pool, o.threshold, o.num_perm, o.n_gram, o.min_band_hits or 1, o.max_candidates), "cand_id"
         else:
-            found, order = candidates(s1, pool, Settings(limits, o.threshold, neighbours=o.p3_top_k, cap=o.max_candidates, quota=o.p3_slack_quota)), "rank"
+            found, order = candidates(s1, pool, Settings(limits, o.threshold, o.min_band_hits or 2, o.num_perm, o.n_gram, o.p3_top_k, o.max_candidates, o.p3_slack_quota, o.policy)), "rank"
         write_tsv(candidate_lists(found, s1, order), o.output)
     elif o.command == "recall":
         s1 = read_records(spark, o.s1)

@@ -10,9 +10,9 @@ from linkweave.operators.metrics import f_half
 
 def exact_shortcut(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """Pairs with equal name and equal address, neither empty: a match without a model."""
-    key = lambda df, to: df.select(F.col("entity_id").alias(to), "name", "address").where("name <> '' AND address <> ''")
-    same = key(s1, "s1_id").join(key(pool, "cand_id"), ["name", "address"]).select("s1_id", "cand_id")
-    return pairs.join(same, ["s1_id", "cand_id"], "left_semi")
+    key = lambda df, to: df.select(F.col("entity_id").alias(to), F.struct("name", "address").alias(f"{to}_key")).where("name <> '' AND address <> ''")
+    both = pairs.join(key(s1, "s1_id"), "s1_id").join(key(pool, "cand_id"), "cand_id").where("s1_id_key = cand_id_key")
+    return both.select(*pairs.columns)
 
 
 def decide(scored: DataFrame, threshold: float = 0.39, most: int = 10, gate: float = 0.0, exact: DataFrame | None = None, model_ranks: int | None = None) -> DataFrame:

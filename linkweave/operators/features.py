@@ -16,7 +16,7 @@ FEATURES = (
     "name_levenshtein", "address_levenshtein", "name_token_set_ratio", "name_token_sort_ratio", "address_token_set_ratio", "address_token_sort_ratio",
     "name_partial_ratio", "address_partial_ratio", "name_wratio", "address_wratio", "name_jaccard", "address_jaccard", "name_token_overlap", "address_token_overlap",
     "name_exact", "address_exact", "name_length_ratio", "address_length_ratio", "name_digit_jaccard", "address_digit_jaccard", "address_number_match", "address_contains",
-    "name_first_char_match", "country_match", "address_missing_query", "address_missing_candidate", "blocker_rank_score", "blocker_rank_log", "blocker_source_count", "p1_hit", "p2_hit", "p3_hit",
+    "name_first_char_match", "country_match", "address_missing_query", "address_missing_candidate", "blocker_rank_score", "blocker_rank_log", "blocker_source_count", "blocker_p1_hit", "blocker_p2_hit", "blocker_p3_hit",
 )
 
 
@@ -73,17 +73,18 @@ def plain_features(q: str = "q", c: str = "c") -> dict[str, Column]:
         "blocker_rank_score": F.when(rank > 0, 1.0 / (60 + rank)).otherwise(0.0),
         "blocker_rank_log": F.when(rank > 0, 1.0 / F.log2(2.0 + rank)).otherwise(0.0),
         "blocker_source_count": F.bit_count(mask).cast("double"),
-        "p1_hit": _flag(mask.bitwiseAND(1) > 0),
-        "p2_hit": _flag(mask.bitwiseAND(2) > 0),
-        "p3_hit": _flag(mask.bitwiseAND(4) > 0),
+        "blocker_p1_hit": _flag(mask.bitwiseAND(1) > 0),
+        "blocker_p2_hit": _flag(mask.bitwiseAND(2) > 0),
+        "blocker_p3_hit": _flag(mask.bitwiseAND(4) > 0),
     }
 
 
 def paired(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """pairs (s1_id, cand_id, rank, mask) with the structs q and c."""
+    """pairs (s1_id, cand_id, rank, mask) with the structs q and c; a pair whose record is missing is an error when it is read."""
     q = prepare(s1).withColumnsRenamed({"entity_id": "s1_id", "p": "q"})
     c = prepare(pool).withColumnsRenamed({"entity_id": "cand_id", "p": "c"})
-    return pairs.join(q, "s1_id").join(c, "cand_id")
+    there = lambda p, i: F.when(F.col(p).isNull(), F.raise_error(F.concat(F.lit("no record for "), i))).otherwise(F.col(p))
+    return pairs.join(q, "s1_id", "left").join(c, "cand_id", "left").withColumns({"q": there("q", F.col("s1_id")), "c": there("c", F.col("cand_id"))})
 
 
 def sql_features(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 BITS = {"p1": 1, "p2": 2, "p3": 4}
 RRF_K, SOURCE_BONUS, P3_TIE = 60, 0.005, 0.0005
+#: LSH candidates of a query that go into the ranked policy.
 P2_MOST = 5000
 
 
@@ -19,13 +20,13 @@ def source_ranks(scored: DataFrame) -> DataFrame:
     return scored.withColumn("rank", F.expr("row_number() OVER (PARTITION BY s1_id, source ORDER BY score DESC, cand_id)"))
 
 
-def stack(p1: DataFrame | None, p2: DataFrame | None, p3: DataFrame | None, p2_most: int = P2_MOST) -> DataFrame:
-    """Ranked rows of all blockers (s1_id, cand_id, score each); of the second the best p2_most only."""
+def stack(p1: DataFrame | None, p2: DataFrame | None, p3: DataFrame | None, p2_most: int | None = None) -> DataFrame:
+    """Ranked rows of all blockers (s1_id, cand_id, score each); of the second the best p2_most only, if given."""
     out = None
     for name, df in (("p1", p1), ("p2", p2), ("p3", p3)):
         if df is not None:
             rows = source_ranks(df.select("s1_id", "cand_id", F.lit(name).alias("source"), F.col("score").cast("double").alias("score")))
-            rows = rows.where(F.col("rank") <= p2_most) if name == "p2" else rows
+            rows = rows.where(F.col("rank") <= p2_most) if name == "p2" and p2_most else rows
             out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -96,21 +97,32 @@ LEXICAL = "least(coalesce(p1, 0), 100) DESC, coalesce(p2, 0) DESC, coalesce(p3,
 EMBEDDING = "coalesce(p3, 0) DESC, coalesce(p2, 0) DESC, least(coalesce(p1, 0), 100) DESC, cand_id DESC"
 
 
-def prune_agreement(folded: DataFrame, cap: int = 1000, quota: float = 0.30) -> DataFrame:
+#: The same classes in the older order: LSH hits, token score (not held at 100), vector score, then the smaller id.
+LATER_AGREEMENT, LATER_LEXICAL = (f"{start}coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, coalesce(p3, 0) DESC, cand_id" for start in ("bit_count(mask) DESC, ", ""))
+LATER_EMBEDDING = "coalesce(p3, 0) DESC, coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, cand_id"
+
+
+def prune_by_hits(folded: DataFrame, cap: int = 1000, quota: float = 0.30) -> DataFrame:
+    """prune_agreement by LSH hits before token scores in every class, ties by the smaller id."""
+    return prune_agreement(folded, cap, quota, (LATER_AGREEMENT, LATER_LEXICAL, LATER_EMBEDDING))
+
+
+def prune_agreement(folded: DataFrame, cap: int = 1000, quota: float = 0.30, orders: tuple[str, str, str] = (AGREEMENT, LEXICAL, EMBEDDING)) -> DataFrame:
     """Candidates of two or more blockers first; of the places left a quota for vector-only ones; unused places go to the others."""
+    agreement, lexical, embedding = orders
     rows = folded.withColumn("rrf", rrf()).withColumn("kind", F.when(F.bit_count("mask") >= 2, 0).when(F.col("mask") == 4, 2).otherwise(1))
     rows = rows.withColumns({
         "n": F.expr("count(*) OVER (PARTITION BY s1_id)"),
         "n_two": F.expr("count_if(kind = 0) OVER (PARTITION BY s1_id)"),
         "n3": F.expr("count_if(kind = 2) OVER (PARTITION BY s1_id)"),
-        "place": F.expr(f"CASE kind WHEN 0 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY {AGREEMENT}) WHEN 1 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY {LEXICAL}) ELSE row_number() OVER (PARTITION BY s1_id, kind ORDER BY {EMBEDDING}) END"),
+        "place": F.expr(f"CASE kind WHEN 0 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY {agreement}) WHEN 1 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY {lexical}) ELSE row_number() OVER (PARTITION BY s1_id, kind ORDER BY {embedding}) END"),
     })
     free = F.greatest(cap - F.col("n_two"), F.lit(0))
     rows = rows.withColumn("p3_slots", F.least(F.col("n3"), F.bround(free * F.lit(float(quota))).cast("long"))).withColumn("p12_slots", free - F.col("p3_slots"))
     rows = rows.withColumn("first", (F.col("n") <= cap) | ((F.col("kind") == 0) & (F.col("place") <= cap)) | ((F.col("kind") == 1) & (F.col("place") <= F.col("p12_slots"))) | ((F.col("kind") == 2) & (F.col("place") <= F.col("p3_slots"))))
-    rows = rows.withColumns({"n_first": F.expr("count_if(first) OVER (PARTITION BY s1_id)"), "later": F.expr(f"row_number() OVER (PARTITION BY s1_id, first ORDER BY {AGREEMENT})")})
+    rows = rows.withColumns({"n_first": F.expr("count_if(first) OVER (PARTITION BY s1_id)"), "later": F.expr(f"row_number() OVER (PARTITION BY s1_id, first ORDER BY {agreement})")})
     kept = rows.where(F.col("first") | (F.col("later") <= cap - F.col("n_first")))
-    return kept.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY s1_id ORDER BY {AGREEMENT})")).select("s1_id", "cand_id", "rank", "mask", F.col("rrf").alias("score"))
+    return kept.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY s1_id ORDER BY {agreement})")).select("s1_id", "cand_id", "rank", "mask", F.col("rrf").alias("score"))
 
 
 def prune_core_first(folded: DataFrame, cap: int = 1000) -> DataFrame:
@@ -118,3 +130,12 @@ def prune_core_first(folded: DataFrame, cap: int = 1000) -> DataFrame:
     rows = _numbered(folded).withColumn("by_agreement", F.expr("row_number() OVER (PARTITION BY s1_id, core ORDER BY bit_count(mask) DESC, coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, coalesce(p3, 0) DESC, cand_id)"))
     keep = (F.col("core") & (F.col("by_agreement") <= cap)) | (~F.col("core") & (F.col("by_p3") <= cap - F.col("n_core")))
     return _final(rows.where(keep))
+
+
+#: By name, for plans and the command line.
+POLICIES = {"ranked": prune_ranked, "core_safe": prune_core_safe, "agreement": prune_agreement, "by_hits": prune_by_hits, "without_lsh": prune_without_lsh, "core_first": lambda folded, cap, quota: prune_core_first(folded, cap)}
+
+
+def prune(policy: str, p1: DataFrame | None, p2: DataFrame | None, p3: DataFrame | None, cap: int, quota: float) -> DataFrame:
+    """The ranked candidates of three blockers by a policy; only the ranked one cuts LSH candidates first."""
+    return POLICIES[policy](fold(stack(p1, p2, p3, P2_MOST if policy == "ranked" else None)), cap, quota)

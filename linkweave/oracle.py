@@ -21,17 +21,17 @@ k1 AS (SELECT country, entity_id, unnest({_SET.format("name")}) AS key FROM s1),
 kp AS (SELECT country, entity_id, unnest({_SET.format("name")}) AS key FROM pool),
 tot AS (SELECT country, count(*) AS n_records FROM pool GROUP BY 1),
 freq AS (SELECT country, key, count(*) AS df FROM kp WHERE (country, key) IN (SELECT country, key FROM k1) GROUP BY ALL),
-kept AS (SELECT country, key, df FROM freq JOIN tot USING (country) WHERE df <= least(n_records * 0.05::DOUBLE, 100)),
+kept AS (SELECT country, key, df FROM freq JOIN tot USING (country) WHERE df <= least(n_records * 0.05::DOUBLE, 5000)),
 hits AS (SELECT k1.entity_id AS s1_id, kp.entity_id AS cand_id, count(*) AS token_hits FROM k1 JOIN kept USING (country, key) JOIN kp USING (country, key) GROUP BY ALL)"""
 _EXACT = """
 xf AS (SELECT country, name, count(*) AS df FROM pool WHERE name <> '' AND (country, name) IN (SELECT country, name FROM s1) GROUP BY ALL),
-xk AS (SELECT country, name FROM xf JOIN tot USING (country) WHERE df <= least(n_records, 100)),
+xk AS (SELECT country, name FROM xf JOIN tot USING (country) WHERE df <= least(n_records, 5000)),
 exact AS (SELECT s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN xk USING (country, name) JOIN pool USING (country, name))"""
 _PAIR = f"""
 p1k AS (SELECT country, entity_id, unnest({_PAIRS}) AS key FROM (SELECT country, entity_id, {_SET.format("name")}[1:12] AS t FROM s1)),
 ppk AS (SELECT country, entity_id, unnest({_PAIRS}) AS key FROM (SELECT country, entity_id, {_SET.format("name")}[1:12] AS t FROM pool)),
 pf AS (SELECT country, key, count(*) AS df FROM ppk WHERE (country, key) IN (SELECT country, key FROM p1k) GROUP BY ALL),
-pk AS (SELECT country, key FROM pf JOIN tot USING (country) WHERE df <= least(n_records, 100)
+pk AS (SELECT country, key FROM pf JOIN tot USING (country) WHERE df <= least(n_records, 5000)
        AND NOT ((country, split_part(key, ' ', 1)) IN (SELECT country, key FROM kept) AND (country, split_part(key, ' ', 2)) IN (SELECT country, key FROM kept))),
 pairs AS (SELECT p1k.entity_id AS s1_id, ppk.entity_id AS cand_id, count(*) AS pair_hits FROM p1k JOIN pk USING (country, key) JOIN ppk USING (country, key) GROUP BY ALL)"""
 _HYBRID = """
@@ -40,18 +40,24 @@ hybrid AS (SELECT s1_id, cand_id, coalesce(token_hits, 0) AS token_hits, CASE WH
                   greatest(coalesce(token_hits, 0), CASE WHEN x.s1_id IS NULL THEN 0 ELSE 100 END) + 10 * coalesce(pair_hits, 0) AS score
            FROM hits FULL JOIN (SELECT * FROM exact WHERE s1_id IN (FROM few)) x USING (s1_id, cand_id) FULL JOIN (SELECT * FROM pairs WHERE s1_id IN (FROM few)) p USING (s1_id, cand_id))"""
 _a, _b = coefficients(64)
-_SIGNED = f"""
+
+
+def _signed(x: str) -> str:
+    return f"""
 coef AS (SELECT * FROM (VALUES {", ".join(f"({k}, {_a[k]}::BIGINT, {_b[k]}::BIGINT)" for k in range(64))}) v(k, a, b)),
-sh AS (SELECT entity_id, country, src, ('0x' || substr(md5(g), 1, 15))::BIGINT % {PRIME} AS h FROM (SELECT entity_id, country, src, unnest({_GRAMS}) AS g FROM (SELECT *, trim(concat_ws(' ', name, address)) AS x FROM rec) WHERE x <> '')),
+sh AS (SELECT entity_id, country, src, ('0x' || substr(md5(g), 1, 15))::BIGINT % {PRIME} AS h FROM (SELECT entity_id, country, src, unnest({_GRAMS}) AS g FROM (SELECT *, {x} AS x FROM rec) WHERE x <> '')),
 sig AS (SELECT entity_id, country, src, k, min((a * h + b) % {PRIME}) AS v FROM sh CROSS JOIN coef GROUP BY ALL),
 bands AS (SELECT entity_id, country, src, k // 3 AS band, string_agg(v::VARCHAR, '-' ORDER BY k) AS key FROM sig WHERE k < 63 GROUP BY ALL)"""
+
+
+_SIGNED, _SIGNED_TEXTS = _signed("trim(concat_ws(' ', name, address))"), _signed("text")
 _LSH = """
 lsh AS (SELECT q.entity_id AS s1_id, c.entity_id AS cand_id, count(*) AS hits FROM bands q JOIN bands c ON q.country = c.country AND q.band = c.band AND q.key = c.key AND q.src = 1 AND c.src > 1 GROUP BY ALL)"""
 _SPARSE = f"""
 a1 AS (SELECT country, entity_id, unnest({_SET.format("address")}) AS key FROM s1),
 ap AS (SELECT country, entity_id, unnest({_SET.format("address")}) AS key FROM pool),
 af AS (SELECT country, key, count(*) AS df FROM ap WHERE (country, key) IN (SELECT country, key FROM a1) GROUP BY ALL),
-ak AS (SELECT country, key FROM af JOIN tot USING (country) WHERE df <= least(n_records * 0.05::DOUBLE, 100)),
+ak AS (SELECT country, key FROM af JOIN tot USING (country) WHERE df <= least(n_records * 0.05::DOUBLE, 5000)),
 shared AS (SELECT a1.entity_id AS s1_id, ap.entity_id AS cand_id, count(*) AS shared FROM a1 JOIN ak USING (country, key) JOIN ap USING (country, key) GROUP BY ALL),
 sparse AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id) AS rank FROM (
     SELECT s1_id, cand_id, shared / sqrt((x.n * y.n)::DOUBLE) AS score FROM shared JOIN (SELECT entity_id, count(*) AS n FROM a1 GROUP BY 1) x ON x.entity_id = s1_id JOIN (SELECT entity_id, count(*) AS n FROM ap GROUP BY 1) y ON y.entity_id = cand_id)) WHERE rank <= 10)"""
@@ -108,13 +114,14 @@ def _draw(seed: int, cols: str) -> str:
 _BYTES = "octet_length(encode(entity_id))"
 _PQ = _per("hits").strip()
 _AGREE = "bit_count(mask) DESC, coalesce(p2, 0) DESC, least(coalesce(p1, 0), 100) DESC, coalesce(p3, 0) DESC, cand_id DESC"
+_HITS = "bit_count(mask) DESC, coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, coalesce(p3, 0) DESC, cand_id"
 _GRID = "(VALUES (2), (5)) a(rank_k), (VALUES (0.2::DOUBLE), (0.4::DOUBLE), (0.6::DOUBLE), (0.8::DOUBLE)) b(threshold), (VALUES (1), (2), (4)) c(max_matches)"
 
 ORACLE_SQL: dict[str, str] = {
-    "normalize_names": _with(select="SELECT entity_id, name, address FROM rec"),
-    "token_sets": _with(select=f"SELECT entity_id, array_to_string({_SET.format('name')}, ' ') AS tokens FROM rec"),
-    "token_pairs": _with(select=f"SELECT entity_id, len({_PAIRS}) AS n_pairs, array_to_string({_PAIRS}, '|') AS pairs FROM (SELECT entity_id, {_SET.format('name')}[1:12] AS t FROM rec)"),
-    "char_shingles": _with(select=f"SELECT entity_id, len(g) AS n_shingles, md5(coalesce(array_to_string(list_sort(g), '|'), '')) AS shingles_md5 FROM (SELECT entity_id, CASE WHEN x = '' THEN [] ELSE {_GRAMS} END AS g FROM (SELECT entity_id, trim(concat_ws(' ', name, address)) AS x FROM rec))"),
+    "normalize_names": _with(select="SELECT entity_id, text FROM rec"),
+    "token_sets": _with(select=f"SELECT entity_id, array_to_string({_SET.format('text')}, ' ') AS tokens FROM rec"),
+    "token_pairs": _with(select=f"SELECT entity_id, len({_PAIRS}) AS n_pairs, array_to_string({_PAIRS}, '|') AS pairs FROM (SELECT entity_id, {_SET.format('text')}[1:12] AS t FROM rec)"),
+    "char_shingles": _with(select=f"SELECT entity_id, len(g) AS n_shingles, md5(coalesce(array_to_string(list_sort(g), '|'), '')) AS shingles_md5 FROM (SELECT entity_id, CASE WHEN x = '' THEN [] ELSE {_GRAMS} END AS g FROM (SELECT entity_id, text AS x FROM rec))"),
     "digit_runs": r"SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), '\p{Nd}+'))), ' '), '') AS runs FROM documents",
     "country_keys": _with(select="SELECT country, lower(trim(coalesce(country, ''))) AS country_key, substr(sha1(country), 1, 16) AS digest, count(*) AS n FROM rec GROUP BY country"),
     "portable_hashes": _with(select="SELECT entity_id, ('0x' || substr(md5(entity_id), 1, 15))::BIGINT AS hash FROM rec"),
@@ -122,9 +129,9 @@ ORACLE_SQL: dict[str, str] = {
     "country_totals": _with(select="SELECT country, count(*) AS n_records FROM pool GROUP BY 1"),
     "country_shares": _with(select="SELECT country, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM rec) AS share FROM rec GROUP BY 1"),
     "source_union": _with(select="SELECT src, country, count(*) AS n FROM pool GROUP BY ALL"),
-    "token_union": _with(select=f"SELECT DISTINCT country, unnest({_SET.format('name')}) AS token FROM pool"),
-    "token_intersection": _with(select=f"SELECT country, unnest({_SET.format('name')}) AS token FROM rec WHERE src = 1 INTERSECT SELECT country, unnest({_SET.format('name')}) FROM rec WHERE src = 2"),
-    "token_difference": _with(select=f"SELECT country, unnest({_SET.format('name')}) AS token FROM rec WHERE src = 1 EXCEPT SELECT country, unnest({_SET.format('name')}) FROM rec WHERE src = 2"),
+    "token_union": _with(select=f"SELECT DISTINCT country, unnest({_SET.format('text')}) AS token FROM pool"),
+    "token_intersection": _with(select=f"SELECT country, unnest({_SET.format('text')}) AS token FROM rec WHERE src = 1 INTERSECT SELECT country, unnest({_SET.format('text')}) FROM rec WHERE src = 2"),
+    "token_difference": _with(select=f"SELECT country, unnest({_SET.format('text')}) AS token FROM rec WHERE src = 1 EXCEPT SELECT country, unnest({_SET.format('text')}) FROM rec WHERE src = 2"),
     "missing_ids_anti": _with(_KEYS.strip(), select="SELECT entity_id FROM s1 WHERE entity_id NOT IN (SELECT s1_id FROM hits)"),
     "token_doc_freq": _with(_KEYS.strip(), select="SELECT country, key, df FROM freq"),
     "token_kept": _with(_KEYS.strip(), select="SELECT country, key, df FROM kept"),
@@ -133,9 +140,9 @@ ORACLE_SQL: dict[str, str] = {
     "token_block": _with(_KEYS.strip(), select="SELECT s1_id, cand_id, token_hits FROM hits"),
     "hybrid_block_scored": _with(*_ALL[:4], select="SELECT s1_id, cand_id, token_hits, exact, pair_hits, score FROM hybrid"),
     "candidate_lists": _with(*_ALL[:4], select="SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY score DESC, cand_id), '') AS candidate_entity_ids FROM s1 LEFT JOIN hybrid ON s1_id = entity_id GROUP BY 1"),
-    "minhash_signature": _with(_SIGNED.strip(), select="SELECT entity_id, string_agg(v::VARCHAR, '-' ORDER BY k) AS signature FROM sig GROUP BY 1"),
+    "minhash_signature": _with(_SIGNED_TEXTS.strip(), select="SELECT entity_id, string_agg(v::VARCHAR, '-' ORDER BY k) AS signature FROM sig GROUP BY 1"),
     "lsh_parameters": "SELECT * FROM (VALUES (0.3::DOUBLE, 21, 3), (0.4::DOUBLE, 16, 4), (0.5::DOUBLE, 14, 4)) t(threshold, bands, band_rows)",
-    "lsh_bands": _with(_SIGNED.strip(), select="SELECT entity_id, band, key FROM bands"),
+    "lsh_bands": _with(_SIGNED_TEXTS.strip(), select="SELECT entity_id, band, key FROM bands"),
     "lsh_candidates": _with(_SIGNED.strip(), _LSH.strip(), select="SELECT s1_id, cand_id, hits FROM lsh"),
     "lsh_min_hits_topk": _with(_SIGNED.strip(), _LSH.strip(), select="SELECT s1_id, cand_id, hits FROM lsh WHERE hits >= 2 QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY hits DESC, cand_id) <= 5"),
     "knn_topk": "SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id) AS rank, round(score, 6) AS score FROM (SELECT q.vec_id AS s1_id, c.vec_id AS cand_id, list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings c ON q.label = c.label AND q.vec_id <> c.vec_id AND q.vec_id % 20 = 0) QUALIFY rank <= 10",
@@ -154,6 +161,13 @@ ORACLE_SQL: dict[str, str] = {
         "g4 AS (SELECT *, n <= 5 OR (kind = 0 AND place <= 5) OR (kind = 1 AND place <= free - p3_slots) OR (kind = 2 AND place <= p3_slots) AS first FROM g3)",
         f"g5 AS (SELECT *, count(*) FILTER (WHERE first) OVER (PARTITION BY s1_id) AS n_first, row_number() OVER (PARTITION BY s1_id, first ORDER BY {_AGREE}) AS later FROM g4)",
         select=f"SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY {_AGREE}) AS rank, mask, rrf AS score FROM g5 WHERE first OR later <= 5 - n_first"),
+    "prune_by_hits": _with(*_ALL,
+        "g1 AS (SELECT *, CASE WHEN bit_count(mask) >= 2 THEN 0 WHEN mask = 4 THEN 2 ELSE 1 END AS kind FROM fold)",
+        f"g2 AS (SELECT *, count(*) OVER q AS n, count(*) FILTER (WHERE kind = 0) OVER q AS n_two, count(*) FILTER (WHERE kind = 2) OVER q AS n_three, CASE kind WHEN 0 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY {_HITS}) WHEN 1 THEN row_number() OVER (PARTITION BY s1_id, kind ORDER BY coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, coalesce(p3, 0) DESC, cand_id) ELSE row_number() OVER (PARTITION BY s1_id, kind ORDER BY coalesce(p3, 0) DESC, coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, cand_id) END AS place FROM g1 WINDOW q AS (PARTITION BY s1_id))",
+        "g3 AS (SELECT *, greatest(5 - n_two, 0) AS free, least(n_three, round_even(greatest(5 - n_two, 0) * 0.3::DOUBLE, 0)) AS p3_slots FROM g2)",
+        "g4 AS (SELECT *, n <= 5 OR (kind = 0 AND place <= 5) OR (kind = 1 AND place <= free - p3_slots) OR (kind = 2 AND place <= p3_slots) AS first FROM g3)",
+        f"g5 AS (SELECT *, count(*) FILTER (WHERE first) OVER (PARTITION BY s1_id) AS n_first, row_number() OVER (PARTITION BY s1_id, first ORDER BY {_HITS}) AS later FROM g4)",
+        select=f"SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY {_HITS}) AS rank, mask, rrf AS score FROM g5 WHERE first OR later <= 5 - n_first"),
     "prune_core_first": _with(*_ALL, "c1 AS (SELECT *, row_number() OVER (PARTITION BY s1_id, core ORDER BY bit_count(mask) DESC, coalesce(p2, 0) DESC, coalesce(p1, 0) DESC, coalesce(p3, 0) DESC, cand_id) AS agreed FROM placed)", select=_OUT.format("c1", "(core AND agreed <= 5) OR (NOT core AND by_p3 <= 5 - n_core)")),
     "pair_features_sql": _with(*_ALL, _BEST, _PREP.strip(), select=f"""
 SELECT s1_id, cand_id, {_JAC.format("q.nt", "c.nt")} AS name_jaccard, {_JAC.format("q.ad", "c.ad")} AS address_jaccard, {_OVER.format("q.nt", "c.nt")} AS name_token_overlap, {_OVER.format("q.ad", "c.ad")} AS address_token_overlap,
@@ -161,7 +175,7 @@ SELECT s1_id, cand_id, {_JAC.format("q.nt", "c.nt")} AS name_jaccard, {_JAC.form
   {_JAC.format("q.nd", "c.nd")} AS name_digit_jaccard, {_JAC.format("q.dd", "c.dd")} AS address_digit_jaccard, list_has_any(q.dd, c.dd)::INT::DOUBLE AS address_number_match,
   (q.address <> '' AND c.address <> '' AND (contains(q.address, c.address) OR contains(c.address, q.address)))::INT::DOUBLE AS address_contains, (q.name <> '' AND q.name[1] = c.name[1])::INT::DOUBLE AS name_first_char_match,
   (q.c = c.c)::INT::DOUBLE AS country_match, (q.address = '')::INT::DOUBLE AS address_missing_query, (c.address = '')::INT::DOUBLE AS address_missing_candidate, 1::DOUBLE / (60 + rank) AS blocker_rank_score, 1::DOUBLE / log2(2 + rank) AS blocker_rank_log,
-  bit_count(mask)::DOUBLE AS blocker_source_count, ((mask & 1) > 0)::INT::DOUBLE AS p1_hit, ((mask & 2) > 0)::INT::DOUBLE AS p2_hit, ((mask & 4) > 0)::INT::DOUBLE AS p3_hit
+  bit_count(mask)::DOUBLE AS blocker_source_count, ((mask & 1) > 0)::INT::DOUBLE AS blocker_p1_hit, ((mask & 2) > 0)::INT::DOUBLE AS blocker_p2_hit, ((mask & 4) > 0)::INT::DOUBLE AS blocker_p3_hit
 FROM best JOIN prep q ON q.entity_id = s1_id JOIN prep c ON c.entity_id = cand_id"""),
     "exact_match_shortcut": _with(*_ALL, _BEST, select="SELECT s1_id, cand_id, rank FROM best JOIN rec q ON q.entity_id = s1_id JOIN rec c ON c.entity_id = cand_id WHERE q.name = c.name AND q.address = c.address AND q.name <> '' AND q.address <> ''"),
     "truth_label_join": _with(*_ALL, _BEST, select="SELECT s1_id, cand_id, rank, ((s1_id, cand_id) IN (SELECT s1_id, cand_id FROM truth))::INT AS label FROM best"),
@@ -186,7 +200,7 @@ FROM best JOIN prep q ON q.entity_id = s1_id JOIN prep c ON c.entity_id = cand_i
     "first_by_country": _with(select="SELECT entity_id, country FROM rec QUALIFY row_number() OVER (PARTITION BY country ORDER BY entity_id) <= 20"),
     "hard_negatives": _with(*_ALL, _BEST, "lb AS (SELECT s1_id, cand_id, rank, ((s1_id, cand_id) IN (SELECT s1_id, cand_id FROM truth))::INT AS label FROM best)", "nr AS (SELECT *, label = 1 OR rank <= 2 AS near FROM lb)", select=f"SELECT s1_id, cand_id, rank, label FROM nr QUALIFY near OR row_number() OVER (PARTITION BY s1_id, near ORDER BY {_draw(42, chr(39).join(['s1_id || ', ':', ' || cand_id']))}, cand_id) <= 1"),
     "random_negatives": _with(*_ALL, _BEST, "lb AS (SELECT s1_id, cand_id, ((s1_id, cand_id) IN (SELECT s1_id, cand_id FROM truth))::INT AS label FROM best)", select=f"SELECT s1_id, cand_id, label FROM lb QUALIFY label = 1 OR row_number() OVER (PARTITION BY s1_id ORDER BY {_draw(42, chr(39).join(['s1_id || ', ':', ' || cand_id']))}, cand_id) <= 2"),
-    "recall_report": _with(_KEYS.strip(), _PQ, select=f"SELECT {_REPORT}, {_MEDIAN}, 1 - avg(n_cand) / 100.0::DOUBLE AS reduction_ratio FROM pq"),
+    "recall_report": _with(_KEYS.strip(), _PQ, select=f"SELECT {_REPORT}, {_MEDIAN}, 1 - avg(n_cand) / (SELECT count(*)::DOUBLE FROM pool) AS reduction_ratio FROM pq"),
     "recall_by_country": _with(_KEYS.strip(), _PQ, select=f"SELECT country, {_REPORT} FROM pq GROUP BY ROLLUP (country)"),
     "recall_at_k": _with(*_ALL, _BEST, "kq AS (SELECT k, truth.s1_id, count(*) AS n_true, count(*) FILTER (WHERE rank <= k) AS n_found FROM truth LEFT JOIN best USING (s1_id, cand_id) CROSS JOIN (VALUES (1), (2), (3), (5), (8)) v(k) GROUP BY ALL)", select="SELECT k, sum(n_found)::DOUBLE / sum(n_true) AS pairwise_recall, count(*) FILTER (WHERE n_found = n_true)::DOUBLE / count(*) AS full_recall FROM kq GROUP BY 1"),
     "percentile_variants": _with(_KEYS.strip(), _PQ, select="SELECT list_sort(list(n_cand))[round_even(0.9::DOUBLE * (count(*) - 1), 0)::INT + 1] AS nearest, quantile_cont(n_cand, 0.9) AS linear, list_sort(list(n_cand))[floor(0.9::DOUBLE * (count(*) - 1))::INT + 1]::DOUBLE AS floored FROM pq"),

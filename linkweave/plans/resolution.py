@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from linkweave.functions.text import normalize, record_text
 from linkweave.operators.decide import best_setting, decide, exact_shortcut, threshold_grid
 from linkweave.operators.features import pair_features
-from linkweave.operators.fusion import fold, prune_ranked, stack
+from linkweave.operators.fusion import prune
 from linkweave.operators.knn import choose_knn, embed
 from linkweave.operators.learn import hard_negatives, predict, train
 from linkweave.operators.lsh import lsh_block
@@ -23,9 +23,12 @@ class Settings:
     limits: Limits = field(default_factory=Limits)
     lsh_threshold: float = 0.3
     lsh_hits: int = 2
+    permutations: int = 64
+    n_gram: int = 3
     neighbours: int = 500
     cap: int = 1500
     quota: float = 0.10
+    policy: str = "ranked"
     rank_k: int = 192
     model_k: int = 192
     threshold: float = 0.39
@@ -41,13 +44,13 @@ def normalized(records: DataFrame) -> DataFrame:
 def candidates(s1: DataFrame, pool: DataFrame, settings: Settings = Settings(), vectors: bool = True) -> DataFrame:
     """s1_id, cand_id, rank, mask, score: the ranked candidates of each S1 record."""
     p1 = hybrid_block(s1, pool, settings.limits)
-    p2 = lsh_block(s1, pool, settings.lsh_threshold, min_hits=settings.lsh_hits).withColumnRenamed("hits", "score")
+    p2 = lsh_block(s1, pool, settings.lsh_threshold, settings.permutations, settings.n_gram, settings.lsh_hits).withColumnRenamed("hits", "score")
     p3 = None
     if vectors:
         text = record_text(F.col("name"), F.col("address"))
         rows = lambda df, to: embed(df.select(F.col("entity_id").alias(to), F.col("country").alias("part"), text.alias("text")), F.col("text")).drop("text")
         p3 = choose_knn(rows(s1, "s1_id"), rows(pool, "cand_id"), settings.neighbours)
-    return prune_ranked(fold(stack(p1, p2, p3)), settings.cap, settings.quota)
+    return prune(settings.policy, p1, p2, p3, settings.cap, settings.quota)
 
 
 def matches(s1: DataFrame, pool: DataFrame, ranked: DataFrame, model: PipelineModel, settings: Settings = Settings()) -> DataFrame:

@@ -69,7 +69,7 @@ def test_features_and_model(spark, tmp_path):
     pairs = spark.createDataFrame([(f"S1-{i}", f"S2-{(i + d) % 30}", d + 1, 1) for i in range(30) for d in (0, 1, 2)], "s1_id string, cand_id string, rank int, mask int")
     rows = learn.label_pairs(pair_features(pairs, s1, pool), pairs.where("rank = 1").select("s1_id", "cand_id")).persist()
     assert [c for c in rows.columns if c in FEATURES] == list(FEATURES)
-    assert pair_features(pairs, s1, pool, sources=False).agg({"p1_hit": "max"}).first()[0] == 0
+    assert pair_features(pairs, s1, pool, sources=False).agg({"blocker_p1_hit": "max"}).first()[0] == 0
     model = learn.train(rows, rounds=3, least=2)
     learn.save_model(model, str(tmp_path / "m"), {"threshold": 0.39})
     again, told = learn.load_model(str(tmp_path / "m"))

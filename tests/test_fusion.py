@@ -84,6 +84,28 @@ def test_percentiles(spark):
     assert (row["nearest"], row["linear"], row["floored"]) == (40, 36.0, 30.0)
 
 
+def test_percentiles_of_repeated_values(spark):
+    values = [3, 1, 1, 7, 7, 7, 2, 9, 9, 4, 4, 4, 4]
+    row = metrics.percentiles(spark.createDataFrame([(v,) for v in values] + [(None,)], "v int"), "v", 0.7).first()
+    listed, at = sorted(values), 0.7 * (len(values) - 1)
+    assert (row["nearest"], row["floored"]) == (listed[round(at)], listed[int(at)])
+    assert metrics.percentiles(spark.createDataFrame([], "v int"), "v").first()["nearest"] is None
+
+
+def test_policies_by_name(spark):
+    p1 = spark.createDataFrame([("q", f"c{i}", float(9 - i)) for i in range(6)], "s1_id string, cand_id string, score double")
+    p2 = p1.where("score < 6")
+    for name in fusion.POLICIES:
+        assert fusion.prune(name, p1, p2, p1.limit(2), 3, 0.3).count() == 3
+
+
+def test_hits_come_before_token_scores(spark):
+    rows = [("q", "a", 3, 1, 1, None, 150.0, 1.0, None), ("q", "b", 3, 2, 2, None, 120.0, 1.0, None), ("q", "c", 3, 3, 3, None, 1.0, 2.0, None)]
+    folded = spark.createDataFrame(rows, "s1_id string, cand_id string, mask int, r1 int, r2 int, r3 int, p1 double, p2 double, p3 double")
+    assert [r["cand_id"] for r in fusion.prune_by_hits(folded, 2).orderBy("rank").collect()] == ["c", "a"]
+    assert [r["cand_id"] for r in fusion.prune_agreement(folded, 2).orderBy("rank").collect()] == ["c", "b"]  # 150 and 120 are both held at 100
+
+
 def test_recall_report(spark):
     s1 = spark.createDataFrame([("S1-1", "India"), ("S1-2", "US"), ("S1-3", "France")], "entity_id string, country string")
     found = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S3-3")], "s1_id string, cand_id string")

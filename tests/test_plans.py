@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkweave.catalog import QUERIES
-from linkweave.operators import knn
+from linkweave.operators import knn, metrics, validate
+from linkweave.operators.features import sql_features
 from linkweave.operators.token_block import Limits, hybrid_block
 from linkweave.sources import derived
 
@@ -55,3 +56,21 @@ def test_rows_do_not_depend_on_partitioning(spark):
     limits = Limits(token_share=0.5, fallback=10)
     want = sorted(hybrid_block(a, b, limits).collect())
     assert sorted(hybrid_block(a.repartition(7), b.orderBy(F.desc("entity_id")), limits).collect()) == want
+
+
+def test_reports_have_no_task_with_all_rows(spark):
+    s1 = spark.range(50).select(F.col("id").cast("string").alias("entity_id"), F.lit("x").alias("country"))
+    pairs = spark.range(90).select((F.col("id") % 50).cast("string").alias("s1_id"), F.col("id").cast("string").alias("cand_id"))
+    queries = metrics.per_query(s1, pairs, pairs)
+    assert plan(queries).count("Range (0, 90") == 2  # candidates once, truth once
+    told = plan(metrics.recall_report(queries))
+    assert told.index("collect_list") < told.index("keys=[n_cand")  # over the counts of distinct numbers
+    lists = pairs.select(F.col("s1_id").alias("source1_entity_id"), F.col("cand_id").alias("ids"))
+    assert plan(validate.list_problems(lists, s1, s1)).count("WindowGroupLimit") >= 2
+
+
+def test_missing_records_are_an_error(spark):
+    rows = spark.createDataFrame([("S1-1", "a b", "", "X")], "entity_id string, name string, address string, country string")
+    pairs = spark.createDataFrame([("S1-1", "S2-9", 1, 1)], "s1_id string, cand_id string, rank int, mask int")
+    with pytest.raises(Exception, match="no record for S2-9"):
+        sql_features(pairs, rows, rows).collect()
