@@ -58,11 +58,14 @@ def token_pairs(sorted_tokens: Column, most: int = MAX_PAIR_TOKENS) -> Column:
 
 
 def char_ngrams(text: Column, n: int = 3) -> Column:
-    """Distinct n-grams; a shorter text is its own gram, an empty one has none."""
+    """Distinct n-grams; a shorter text is its own gram, an empty one has none.
+
+    The text is cut into grams end to end, from each of the first n characters on: finding each gram's
+    place by its number would take time with the square of the text.
+    """
     def of(t: Column) -> Column:
-        size = F.length(t)
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(n)))
-        return F.when(size > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+        cuts = (F.regexp_extract_all(F.substring(t, k + 1, 2**31 - 1), F.lit(f"(?s).{{{n}}}"), F.lit(0)) for k in range(n))
+        return F.when(F.length(t) >= n, F.array_distinct(F.concat(*cuts))).otherwise(F.filter(F.array(t), lambda x: x != ""))
 
     return let(text, of)
 

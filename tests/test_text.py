@@ -52,6 +52,11 @@ def test_char_ngrams(spark, text, want):
     assert one(spark, T.char_ngrams(F.col("v")), text) == want
 
 
+def test_char_ngrams_of_long_and_wide_texts(spark):
+    for text in ("𝔘nicode é\nword 𝔘n" * 3, "abcdefghij klm" * 9000):
+        assert sorted(one(spark, T.char_ngrams(F.col("v")), text)) == sorted({text[i : i + 3] for i in range(len(text) - 2)})
+
+
 def test_match_categories_and_coverage(spark):
     rows = spark.createDataFrame([(n,) for n in (0, 1, 2, 3, 4, 6, 7)], "n int").select(T.match_category(F.col("n"))).collect()
     assert [r[0] for r in rows] == ["singleton", "one_match", "small_multi", "small_multi", "medium_multi", "medium_multi", "high_multi"]
