@@ -173,7 +173,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, he
     out; repeated rows each get the same score; without usable labels all scores are 0.5.
     """
     model = learn_quality(docs, labels, held_out_mod)
-    return apply_model(with_statistics(docs.drop("held_out", "score", "predicted")), model, threshold, held_out_mod)
+    kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    return apply_model(set_aside(docs), model, threshold, held_out_mod).select(*(F.col(f"`in_{c}`").alias(c) for c in kept), "score", "held_out", "predicted")
+
+
+def set_aside(docs: DataFrame) -> DataFrame:
+    """docs' columns as in_NAME, so that none clashes, with doc_id and the statistics of text."""
+    return with_statistics(docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns), "doc_id", "text"))
 
 
 def apply_model(wide: DataFrame, model: RuleModel, threshold: float, held_out_mod: int) -> DataFrame:
@@ -191,6 +197,6 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, hel
     its statistics anew.
     """
     model = learn_quality(docs, labels, held_out_mod)
-    wide = with_statistics(docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns), "doc_id", "text")).withColumn("__row", F.monotonically_increasing_id())
+    wide = set_aside(docs).withColumn("__row", F.monotonically_increasing_id())
     kept = apply_model(wide, model, threshold, held_out_mod).where("predicted = 1 AND __row >= 0")
     return kept.select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))
