@@ -189,7 +189,32 @@ def test_short_items_and_blocks(spark):
     assert leaks(spark, [], items) == {}
 
 
-def test_leaks_equal_brute_force(spark):
+def best_stretch(equal):
+    """(equal words, length) of the stretch with the largest surplus of equal over other words, the first such one."""
+    surplus, found, start = 0, (0, 0, 0), 0
+    for k, e in enumerate(equal):
+        if surplus < 0:
+            surplus, start = 0, k
+        surplus += 1 if e else -1
+        if surplus > found[0]:
+            found = (surplus, start, k + 1)
+    return sum(equal[found[1] : found[2]]), found[2] - found[1]
+
+
+def best_leak(doc, item):
+    """Most equal words of an accepted stretch on any diagonal."""
+    d, t, found = dc.words_of(doc), dc.words_of(item), 0
+    for diagonal in range(-len(t), len(d)):
+        a, b = max(diagonal, 0), min(diagonal + len(t), len(d))
+        if b > a:
+            matched, size = best_stretch([d[k] == t[k - diagonal] for k in range(a, b)])
+            if matched >= min(10, -(-4 * len(t) // 5)) and matched >= 0.7 * size:
+                found = max(found, matched)
+    return found
+
+
+@pytest.mark.parametrize("changed", [3, 10])
+def test_leaks_equal_brute_force(spark, changed):
     rng = random.Random(8)
     vocab = [f"v{i}" for i in range(60)]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(12, 30)))) for i in range(20)]
@@ -198,25 +223,52 @@ def test_leaks_equal_brute_force(spark):
         own = [rng.choice(vocab) for _ in range(rng.randint(5, 60))]
         if i % 2:
             words = items[rng.randrange(20)][1].split()
-            for k in range(rng.randint(0, 3)):
+            for k in range(rng.randint(0, changed)):
                 words[rng.randrange(len(words))] = "other"
             own[10:10] = words
         docs.append((i, " ".join(own)))
 
-    def best(doc, item):
-        d, t, found = doc.split(), item.split(), (0, 0)
-        for diagonal in range(-len(t), len(d)):
-            a, b = max(diagonal, 0), min(diagonal + len(t), len(d))
-            if b > a:
-                matched, _, size = dc.best_stretch(np.array([d[k] == t[k - diagonal] for k in range(a, b)]))
-                if matched >= min(10, -(-4 * len(t) // 5)) and matched >= 0.7 * size:
-                    found = max(found, (matched, size))
-        return found[0]
-
-    want = {(i, j): best(d, t) for i, d in docs for j, t in items if best(d, t)}
+    want = {(i, j): best_leak(d, t) for i, d in docs for j, t in items if best_leak(d, t)}
     assert {k: v[1] for k, v in leaks(spark, docs, items).items()} == want
 
 
+def test_masks_seed_every_accepted_stretch():
+    """A hit for each pattern of up to 30 % changed inner words with at least ten equal ones, and of short items."""
+    patterns = [(n, k) for n in range(11, 22) for k in [min(n - 10, 3 * n // 10)] if k]
+    whole = [(n, n - -(-4 * n // 5)) for n in range(5, 13)]
+    for (n, k), inner in [*((p, True) for p in patterns), *((p, False) for p in whole)]:
+        for gone in itertools.combinations(range(1, n - 1) if inner else range(n), k):
+            equal = sum(1 << i for i in range(n)) & ~sum(1 << i for i in gone)
+            picked = [sum(1 << (p + s) for p in m) for m in dc.MASKS for s in range(n - m[-1])]
+            assert any(equal & m == m for m in picked), (n, gone)
+
+
+def test_repeated_words_and_batches(monkeypatch):
+    rng = random.Random(3)
+    items = [(1, "ha " * 40), (2, "na na na batman " * 5), (3, ITEM), (4, "la la la la"), (None, ITEM), (5, "x y")]
+    texts = ["ha " * n + "ho " + "ha " * 12 for n in (0, 5, 11, 60)] + [" ".join(rng.choice(["ha", "na", "batman"]) for _ in range(90)) for _ in range(12)]
+    # a piece of an item between other texts, whose places the item's diagonal overlaps
+    texts += ["na na batman na " * 6, " ".join(ITEM.split()[4:16]), "", None, "la la la la la", "x", "y x y"]
+    want = {(i, k): best_leak(t, u) for i, t in enumerate(texts) for k, (_, u) in enumerate(items) if best_leak(t, u)}
+    place = {}
+    for hits, values in ((10**6, 10**6), (7, 100)):
+        monkeypatch.setattr(dc, "HITS_AT_ONCE", hits)
+        monkeypatch.setattr(dc, "VALUES_AT_ONCE", values)
+        index = dc.SeedIndex(items)
+        got = index.find(texts)
+        assert {(r[0], index.ids.index(r[1])): r[6] for r in got} == want
+        place[hits] = got
+        assert [r[1:] for r in got if r[0] == 17] == [r[1:] for r in index.find([texts[17]])]
+    assert place[7] == place[10**6]
+
+
+def test_a_long_text_of_one_word():
+    index = dc.SeedIndex([(k, "ha " * 400) for k in range(3)])
+    flat = np.r_[0, np.ones(20_000, np.int64), 0]
+    assert sum(len(w) for w, _, _ in index.hits(flat)) < 3 * len(dc.MASKS) * 20_400
+    assert index.find(["ha " * 20_000]) == [(0, k, 400, 0, 0, 400, 400) for k in range(3)]
+
+
 def test_decontaminated_rows_stay_whole(spark):
     docs = spark.createDataFrame([(1, ITEM, "x"), (2, PAD, "y"), (2, PAD, "y"), (3, None, "z")], "doc_id long, text string, item_id string")
     items = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
