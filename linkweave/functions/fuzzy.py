@@ -6,6 +6,8 @@ bit-parallel over Python integers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,18 +16,37 @@ from pyspark.sql.types import FloatType, StructField, StructType
 NAMES = ("ratio", "token_sort", "token_set", "partial", "weighted")
 
 
-def lcs(a: str, b: str) -> int:
-    if len(a) > len(b):
-        a, b = b, a
+def _masks(a: str) -> dict[str, int]:
+    """The places of each character of a, as bits."""
     masks: dict[str, int] = {}
     for i, c in enumerate(a):
         masks[c] = masks.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    s = full
-    for c in b:
-        u = s & masks.get(c, 0)
-        s = ((s + u) | (s - u)) & full
-    return len(a) - s.bit_count()
+    return masks
+
+
+def _lengths(masks: dict[str, int], n: int, text: str) -> Iterator[int]:
+    """After each character of text, how many of the n characters behind masks that part has in common with them, in order."""
+    full = s = (1 << n) - 1
+    get = masks.get
+    for c in text:
+        if u := s & get(c, 0):
+            s = ((s + u) | (s - u)) & full
+        yield n - s.bit_count()
+
+
+def _common(masks: dict[str, int], n: int, text: str) -> int:
+    full = s = (1 << n) - 1
+    get = masks.get
+    for c in text:
+        if u := s & get(c, 0):
+            s = ((s + u) | (s - u)) & full
+    return n - s.bit_count()
+
+
+def lcs(a: str, b: str) -> int:
+    if len(a) > len(b):
+        a, b = b, a
+    return _common(_masks(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -55,20 +76,26 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """The best ratio of the shorter string with a window of the longer one, cut windows at the ends included."""
+    """The best ratio of the shorter string with a window of the longer one, cut windows at the ends included.
+
+    The windows cut by the front are prefixes, which one pass scores together; those cut by the end
+    are prefixes of the reversed strings. A whole window moved by k characters gains at most k, so
+    windows that can't beat the best so far are passed over.
+    """
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 1.0 if not b else 0.0
-    n, best = len(a), 0.0
-    chars = set(a)
-    for start in range(1 - n, len(b)):
-        window = b[max(0, start) : start + n]
-        # a best window begins or ends with a character of the shorter string
-        if window[-1] in chars or window[0] in chars:
-            best = max(best, ratio(a, window))
-            if best == 1.0:
-                break
+    n, masks = len(a), _masks(a)
+    most = start = 0
+    while start <= len(b) - n and most < n:
+        found = _common(masks, n, b[start : start + n])
+        most = max(most, found)
+        start += most - found + 1
+    best = most / n
+    if best < 1.0:
+        for m, text in ((masks, b[: n - 1]), (_masks(a[::-1]), b[: -n : -1])):
+            best = max([best, *(2 * k / (n + w) for w, k in enumerate(_lengths(m, n, text), 1))])
     return best
 
 
@@ -81,21 +108,24 @@ def partial_token(a: str, b: str) -> float:
 
 
 def weighted(a: str, b: str) -> float:
-    if not a or not b:
-        return 0.0
+    return scores(a, b)[4] if a and b else 0.0
+
+
+def scores(a: str, b: str) -> tuple[float, float, float, float, float]:
+    """All of NAMES for two strings that aren't empty; the weighted score is made of the others."""
+    found = (ratio(a, b), token_sort(a, b), token_set(a, b), partial(a, b))
     longer = max(len(a), len(b)) / min(len(a), len(b))
-    found = ratio(a, b)
     if longer < 1.5:
-        return max(found, 0.95 * max(token_sort(a, b), token_set(a, b)))
+        return (*found, max(found[0], 0.95 * max(found[1:3])))
     scale = 0.6 if longer > 8 else 0.9
-    return max(found, scale * partial(a, b), 0.95 * scale * partial_token(a, b))
+    return (*found, max(found[0], scale * found[3], 0.95 * scale * partial_token(a, b)))
 
 
-def guarded(score, a: str, b: str) -> float:
-    """Two empty strings are equal, one empty string is like nothing."""
+def guarded(a: str, b: str) -> tuple[float, float, float, float, float]:
+    """scores; two empty strings are equal, one empty string is like nothing."""
     if not a or not b:
-        return 1.0 if a == b else 0.0
-    return score(a, b)
+        return (1.0 if a == b else 0.0,) * 5
+    return scores(a, b)
 
 
 @F.pandas_udf(StructType([StructField(n, FloatType()) for n in NAMES]))
@@ -104,7 +134,7 @@ def _scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     rows = []
     for key in zip(a.fillna(""), b.fillna(""), strict=True):
         if key not in known:
-            known[key] = tuple(guarded(f, *key) for f in (ratio, token_sort, token_set, partial, weighted))
+            known[key] = guarded(*key)
         rows.append(known[key])
     return pd.DataFrame(rows, columns=list(NAMES)) if rows else pd.DataFrame({n: pd.Series([], dtype="float32") for n in NAMES})
 

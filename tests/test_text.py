@@ -1,3 +1,4 @@
+import random
 import unicodedata
 
 import pytest
@@ -82,8 +83,45 @@ def test_fuzzy_scores():
     assert fuzzy.partial("abc", "xxabcxx") == 1.0
     assert fuzzy.partial("", "") == 1.0
     assert fuzzy.weighted("abc", "") == 0.0
-    assert fuzzy.guarded(fuzzy.ratio, "", "") == 1.0
-    assert fuzzy.guarded(fuzzy.token_set, "", "a") == 0.0
+    assert fuzzy.guarded("", "") == (1.0,) * 5
+    assert fuzzy.guarded("", "a") == (0.0,) * 5
+
+
+def plain_ratio(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
+
+
+def plain_partial(a, b):
+    a, b = sorted((a, b), key=len)
+    return max([plain_ratio(a, b[max(0, s) : s + len(a)]) for s in range(1 - len(a), len(b))], default=0.0)
+
+
+def test_fuzzy_scores_equal_brute_force():
+    rng = random.Random(7)
+    for letters in ("ab ", "abcdefgh ", "abcdefghijklmnopqrstuvwxyz0123456789 é"):
+        for _ in range(60):
+            a, b = ("".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(2))
+            if rng.random() < 0.5:
+                b = a[rng.randint(0, len(a)) :] + b + a[: rng.randint(0, len(a))]
+            order = [" ".join(sorted(x.split())) for x in (a, b)]
+            x, y = set(a.split()), set(b.split())
+            both, left, right = (" ".join(sorted(z)) for z in (x & y, x - y, y - x))
+            ends = [f"{both} {z}".strip() for z in (left, right)]
+            as_sets = max([plain_ratio(*ends), *([plain_ratio(both, z) for z in ends] if both else [])])
+            if not x or not y or (both and not (left and right)):
+                as_sets = float(bool(x and y))
+            found = (plain_ratio(a, b), plain_ratio(*order), as_sets, plain_partial(a, b))
+            times = max(map(len, (a, b))) / min(map(len, (a, b)))
+            apart = 1.0 if both else max(plain_partial(*order) if all(order) else float(order[0] == order[1]), plain_partial(left, right) if left and right else float(left == right))
+            scale = 0.6 if times > 8 else 0.9
+            weighted = max(found[0], 0.95 * max(found[1:3])) if times < 1.5 else max(found[0], scale * found[3], 0.95 * scale * apart)
+            assert fuzzy.guarded(a, b) == pytest.approx((*found, weighted))
 
 
 def test_fuzzy_function(spark):
