@@ -15,8 +15,10 @@ from linkweave.functions import text as T
 from linkweave.oracle import ORACLE_SQL
 from linkweave.operators import decide, features, fusion, knn, learn, lsh, metrics, token_block, validate
 from linkweave.sources.derived import records, sides, truth
+from linkweave.sources.shared import shared_dir
 from linkweave.sources.tables import candidate_lists as to_lists
 from linkweave.sources.tables import record_stats, union_sources
+from linkweave.sources.token_store import load_index, save_index
 
 LIMITS = token_block.Limits(0.05, 5000, 1.0, 5000, 1.0, 5000, fallback=5)
 CAP, QUOTA, NEIGHBOURS = 5, 0.3, 10
@@ -173,6 +175,14 @@ def hybrid_block_scored(s1, pool):
     return token_block.hybrid_block(s1, pool, LIMITS)
 
 
+@over_sides
+def stored_token_index(s1, pool):
+    """hybrid_block_scored through an index that is written and read back."""
+    path = shared_dir(s1.sparkSession)
+    save_index(pool, path, LIMITS)
+    return token_block.hybrid_block(s1, load_index(s1.sparkSession, path, LIMITS), LIMITS)
+
+
 @over_sides
 def candidate_lists(s1, pool):
     found = token_block.hybrid_block(s1, pool, LIMITS).withColumn("rank", F.expr("row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id)"))

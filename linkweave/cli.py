@@ -15,6 +15,7 @@ from linkweave.operators.lsh import lsh_block
 from linkweave.operators.token_block import Limits, hybrid_block
 from linkweave.plans import resolution
 from linkweave.plans.resolution import Settings, candidates, normalized
+from linkweave.sources import token_store
 from linkweave.sources.tables import candidate_lists, read_candidates, read_ids, read_records, read_truth, select_records, union_sources, write_split, write_tsv
 
 
@@ -22,19 +23,21 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="linkweave")
     sub = top.add_subparsers(dest="command", required=True)
     block = sub.add_parser("block", help="candidate lists of S1 records")
-    for name in ("s1", "s2", "s3", "output"):
+    build = sub.add_parser("index", help="a stored token index of S2 and S3")
+    build.add_argument("--resume", action="store_true", help="go on with a build that was interrupted")
+    for name in ("s2", "s3", "output"):
+        build.add_argument(f"--{name}", required=True)
+    for name in ("s1", "output"):
         block.add_argument(f"--{name}", required=True)
+    for name in ("s2", "s3"):
+        block.add_argument(f"--{name}", help="not needed by the token blocker with an index")
+    block.add_argument("--index", help="a stored token index, whose limits then count")
     block.add_argument("--blocker", choices=["token", "lsh", "fused"], default="fused")
     block.add_argument("--policy", choices=[*POLICIES], default="ranked")
     block.add_argument("--ids-file")
     block.add_argument("--limit", type=int)
     block.add_argument("--max-rows-per-source", type=int)
-    block.add_argument("--max-doc-freq", type=float, default=0.001)
-    block.add_argument("--max-postings-per-token", type=int, default=5000)
-    block.add_argument("--exact-max-postings", type=int, default=5000)
-    block.add_argument("--pair-max-postings", type=int, default=5000)
     block.add_argument("--fallback-threshold", type=int, default=50)
-    block.add_argument("--max-pair-tokens", type=int, default=12)
     block.add_argument("--n-gram", type=int, default=3)
     block.add_argument("--threshold", type=float, default=0.3)
     block.add_argument("--num-perm", type=int, default=64)
@@ -42,6 +45,12 @@ def parser() -> argparse.ArgumentParser:
     block.add_argument("--max-candidates", type=int, default=1500)
     block.add_argument("--p3-top-k", type=int, default=500)
     block.add_argument("--p3-slack-quota", type=float, default=0.10)
+    for own in (block, build):
+        own.add_argument("--max-doc-freq", type=float, default=0.001)
+        own.add_argument("--max-postings-per-token", type=int, default=5000)
+        own.add_argument("--exact-max-postings", type=int, default=5000)
+        own.add_argument("--pair-max-postings", type=int, default=5000)
+        own.add_argument("--max-pair-tokens", type=int, default=12)
     recall = sub.add_parser("recall", help="recall of a candidate file")
     recall.add_argument("--candidates", required=True, nargs="+", help="several files are united")
     recall.add_argument("--ground-truth", required=True)
@@ -122,20 +131,29 @@ def matcher(o: argparse.Namespace, spark: SparkSession) -> None:
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    o = parser().parse_args(args)
+    top = parser()
+    o = top.parse_args(args)
     spark = spark or SparkSession.builder.appName("linkweave").getOrCreate()
-    if o.command == "block":
+    if o.command in ("block", "index"):
+        limits = Limits(o.max_doc_freq, o.max_postings_per_token, exact_cap=o.exact_max_postings, pair_cap=o.pair_max_postings, pair_tokens=o.max_pair_tokens)
+    if o.command == "index":
+        token_store.save_index(normalized(union_sources(*(read_records(spark, p) for p in (o.s2, o.s3)))), o.output, limits, o.resume)
+    elif o.command == "block":
+        alone = o.index and o.blocker == "token"
+        if not alone and not (o.s2 and o.s3):
+            top.error("--s2 and --s3 are needed")
         s1 = read_records(spark, o.s1)
         if o.ids_file or o.limit:
             s1 = select_records(s1, read_ids(spark, o.ids_file) if o.ids_file else s1, o.limit)
-        s1, pool = normalized(s1), normalized(union_sources(*(read_records(spark, p, o.max_rows_per_source) for p in (o.s2, o.s3))))
-        limits = Limits(o.max_doc_freq, o.max_postings_per_token, exact_cap=o.exact_max_postings, pair_cap=o.pair_max_postings, fallback=o.fallback_threshold, pair_tokens=o.max_pair_tokens)
+        s1, limits = normalized(s1), replace(limits, fallback=o.fallback_threshold)
+        index = token_store.load_index(spark, o.index) if o.index else None
+        pool = None if alone else normalized(union_sources(*(read_records(spark, p, o.max_rows_per_source) for p in (o.s2, o.s3))))
         if o.blocker == "token":
-            found, order = hybrid_block(s1, pool, limits), "cand_id"
+            found, order = hybrid_block(s1, index or pool, limits), "cand_id"
         elif o.blocker == "lsh":
             found, order = lsh_block(s1, pool, o.threshold, o.num_perm, o.n_gram, o.min_band_hits or 1, o.max_candidates), "cand_id"
         else:
-            found, order = candidates(s1, pool, Settings(limits, o.threshold, o.min_band_hits or 2, o.num_perm, o.n_gram, o.p3_top_k, o.max_candidates, o.p3_slack_quota, o.policy)), "rank"
+            found, order = candidates(s1, pool, Settings(limits, o.threshold, o.min_band_hits or 2, o.num_perm, o.n_gram, o.p3_top_k, o.max_candidates, o.p3_slack_quota, o.policy), index=index), "rank"
         write_tsv(candidate_lists(found, s1, order), o.output)
     elif o.command == "recall":
         s1 = read_records(spark, o.s1)

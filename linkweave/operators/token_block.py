@@ -29,6 +29,10 @@ class Limits:
     pair_tokens: int = MAX_PAIR_TOKENS
 
 
+#: Kinds of keys, in the order of a TokenIndex.
+KINDS = ("token", "exact", "pair")
+
+
 def key_table(records: DataFrame, kind: str, limits: Limits = Limits()) -> DataFrame:
     """country, key, entity_id for records (entity_id, name, country)."""
     own = token_set(F.col("name"))
@@ -40,10 +44,11 @@ def country_totals(records: DataFrame) -> DataFrame:
     return records.groupBy("country").agg(F.count("*").alias("n_records"))
 
 
-def document_frequency(pool_keys: DataFrame, query_keys: DataFrame) -> DataFrame:
-    """country, key, df over the pool, of keys that a query has."""
-    wanted = query_keys.select("country", "key").distinct()
-    return pool_keys.join(wanted, ["country", "key"], "left_semi").groupBy("country", "key").agg(F.count("*").alias("df"))
+def document_frequency(pool_keys: DataFrame, query_keys: DataFrame | None = None) -> DataFrame:
+    """country, key, df over the pool, of keys that a query has, or of all."""
+    if query_keys is not None:
+        pool_keys = pool_keys.join(query_keys.select("country", "key").distinct(), ["country", "key"], "left_semi")
+    return pool_keys.groupBy("country", "key").agg(F.count("*").alias("df"))
 
 
 def limit(n: Column, share: float, cap: int) -> Column:
@@ -71,20 +76,22 @@ def drop_covered_pairs(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
 
 @dataclass
 class TokenIndex:
-    """Postings (country, key, entity_id) of kept keys, by kind."""
+    """Postings (country, key, entity_id) of kept keys, by kind, and the limits they were kept by."""
 
     tokens: DataFrame
     exact: DataFrame
     pairs: DataFrame
+    limits: Limits
 
     @classmethod
-    def build(cls, s1: DataFrame, pool: DataFrame, limits: Limits = Limits()) -> TokenIndex:
+    def build(cls, s1: DataFrame | None, pool: DataFrame, limits: Limits = Limits()) -> TokenIndex:
+        """Of the keys that s1 has; without s1 of all keys, for an index that is stored (sources.token_store)."""
         totals, kept, keys = country_totals(pool), {}, {}
         for kind, share, cap in (("token", limits.token_share, limits.token_cap), ("exact", limits.exact_share, limits.exact_cap), ("pair", limits.pair_share, limits.pair_cap)):
             keys[kind] = key_table(pool, kind, limits)
-            kept[kind] = kept_keys(document_frequency(keys[kind], key_table(s1, kind, limits)), totals, share, cap)
+            kept[kind] = kept_keys(document_frequency(keys[kind], None if s1 is None else key_table(s1, kind, limits)), totals, share, cap)
         kept["pair"] = drop_covered_pairs(kept["pair"], kept["token"])
-        return cls(*(keys[k].join(kept[k].select("country", "key"), ["country", "key"]) for k in ("token", "exact", "pair")))
+        return cls(*(keys[k].join(kept[k].select("country", "key"), ["country", "key"]) for k in KINDS), limits)
 
 
 def meet(query_keys: DataFrame, postings: DataFrame, count: str) -> DataFrame:
@@ -99,17 +106,17 @@ def few_candidates(s1: DataFrame, hits: DataFrame, most: int) -> DataFrame:
     return s1.join(n, F.col("entity_id") == F.col("s1_id"), "left").where(F.coalesce("n", F.lit(0)) <= most).select(*s1.columns)
 
 
-def hybrid_block(s1: DataFrame, pool: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def hybrid_block(s1: DataFrame, pool: DataFrame | TokenIndex, limits: Limits = Limits()) -> DataFrame:
     """s1_id, cand_id, token_hits, exact, pair_hits, score.
 
-    Names and pairs are looked up only for S1 records with few token candidates. The score is the
+    pool: records, or an index of them, whose own limits then count (but for the fallback). Names and pairs are looked up only for S1 records with few token candidates. The score is the
     number of shared tokens, at least 100 for an equal name, and 10 more for each shared pair.
     """
-    index = TokenIndex.build(s1, pool, limits)
+    index = pool if isinstance(pool, TokenIndex) else TokenIndex.build(s1, pool, limits)
     hits = meet(key_table(s1, "token"), index.tokens, "token_hits")
     few = few_candidates(s1, hits, limits.fallback)
     exact = meet(key_table(few, "exact"), index.exact, "exact")
-    pairs = meet(key_table(few, "pair", limits), index.pairs, "pair_hits")
+    pairs = meet(key_table(few, "pair", index.limits), index.pairs, "pair_hits")
     zero = F.lit(0).cast("long")
     parts = [hits.withColumns({"exact": zero, "pair_hits": zero}), exact.withColumns({"token_hits": zero, "pair_hits": zero}), pairs.withColumns({"token_hits": zero, "exact": zero})]
     merged = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("s1_id", "cand_id").agg(*(F.sum(c).alias(c) for c in ("token_hits", "exact", "pair_hits")))

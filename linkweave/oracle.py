@@ -139,6 +139,7 @@ ORACLE_SQL: dict[str, str] = {
     "pair_block": _with(_KEYS.strip(), _PAIR.strip(), select="SELECT s1_id, cand_id, pair_hits FROM pairs"),
     "token_block": _with(_KEYS.strip(), select="SELECT s1_id, cand_id, token_hits FROM hits"),
     "hybrid_block_scored": _with(*_ALL[:4], select="SELECT s1_id, cand_id, token_hits, exact, pair_hits, score FROM hybrid"),
+    "stored_token_index": _with(*_ALL[:4], select="SELECT s1_id, cand_id, token_hits, exact, pair_hits, score FROM hybrid"),
     "candidate_lists": _with(*_ALL[:4], select="SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY score DESC, cand_id), '') AS candidate_entity_ids FROM s1 LEFT JOIN hybrid ON s1_id = entity_id GROUP BY 1"),
     "minhash_signature": _with(_SIGNED_TEXTS.strip(), select="SELECT entity_id, string_agg(v::VARCHAR, '-' ORDER BY k) AS signature FROM sig GROUP BY 1"),
     "lsh_parameters": "SELECT * FROM (VALUES (0.3::DOUBLE, 21, 3), (0.4::DOUBLE, 16, 4), (0.5::DOUBLE, 14, 4)) t(threshold, bands, band_rows)",

@@ -15,7 +15,7 @@ from linkweave.operators.fusion import prune
 from linkweave.operators.knn import choose_knn, embed
 from linkweave.operators.learn import hard_negatives, predict, train
 from linkweave.operators.lsh import lsh_block
-from linkweave.operators.token_block import Limits, hybrid_block
+from linkweave.operators.token_block import Limits, TokenIndex, hybrid_block
 
 
 @dataclass(frozen=True)
@@ -41,9 +41,9 @@ def normalized(records: DataFrame) -> DataFrame:
     return records.select("entity_id", normalize(F.col("business_name")).alias("name"), normalize(F.col("business_address")).alias("address"), "country")
 
 
-def candidates(s1: DataFrame, pool: DataFrame, settings: Settings = Settings(), vectors: bool = True) -> DataFrame:
-    """s1_id, cand_id, rank, mask, score: the ranked candidates of each S1 record."""
-    p1 = hybrid_block(s1, pool, settings.limits)
+def candidates(s1: DataFrame, pool: DataFrame, settings: Settings = Settings(), vectors: bool = True, index: TokenIndex | None = None) -> DataFrame:
+    """s1_id, cand_id, rank, mask, score: the ranked candidates of each S1 record. index: a stored token index of the pool."""
+    p1 = hybrid_block(s1, index or pool, settings.limits)
     p2 = lsh_block(s1, pool, settings.lsh_threshold, settings.permutations, settings.n_gram, settings.lsh_hits).withColumnRenamed("hits", "score")
     p3 = None
     if vectors:

@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from linkweave.operators.token_block import Limits, hybrid_block
+from linkweave.operators.token_block import Limits, TokenIndex, hybrid_block
 
 
-def resolve_stream(spark: SparkSession, source: str, schema: StructType | str, pool: DataFrame, out: str, checkpoint: str, block: Callable[[DataFrame, DataFrame], DataFrame] | None = None, files_a_batch: int = 10) -> StreamingQuery:
-    """Starts a query over new parquet files of source (entity_id, name, address, country) and stops after the present ones."""
+def resolve_stream(spark: SparkSession, source: str, schema: StructType | str, pool: DataFrame | TokenIndex, out: str, checkpoint: str, block: Callable[[DataFrame, DataFrame | TokenIndex], DataFrame] | None = None, files_a_batch: int = 10) -> StreamingQuery:
+    """Starts a query over new parquet files of source (entity_id, name, address, country) and stops after the present ones.
+
+    pool: a stored index (sources.token_store.load_index), which a micro-batch only looks keys up in, or
+    records, whose keys each micro-batch derives anew.
+    """
     block = block or (lambda s1, p: hybrid_block(s1, p, Limits()))
 
     def each(batch: DataFrame, number: int) -> None:

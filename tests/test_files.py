@@ -105,6 +105,55 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(got.collect()) == sorted(hybrid_block(every, pool, limits).collect())
 
 
+def test_stored_index(spark, tmp_path, monkeypatch):
+    from linkweave.operators.token_block import Limits, hybrid_block
+    from linkweave.sources import token_store
+
+    schema = "entity_id string, name string, address string, country string"
+    names = ["alpha beta", "alpha", "gamma", "beta gamma delta", "alpha gamma", ""]
+    pool = spark.createDataFrame([(f"S2-{i}", names[i % 6], "", c) for i, c in enumerate(["A", "01", "", None] * 9)], schema)
+    s1 = spark.createDataFrame([(f"S1-{i}", n, "", c) for i, (n, c) in enumerate((n, c) for n in [*names, "nothing"] for c in ("A", "01", "1", "", None))], schema)
+    path, limits = str(tmp_path / "index"), Limits(token_share=0.5, fallback=3)
+    token_store.save_index(pool, path, limits)
+    index = token_store.load_index(spark, path, limits)
+    want = sorted(hybrid_block(s1, pool, limits).collect())
+    assert sorted(hybrid_block(s1, index, limits).collect()) == want
+    assert len({r["cand_id"] for r in want}) > 10
+    with pytest.raises(ValueError, match="other limits"):
+        token_store.load_index(spark, path, Limits(token_share=0.4))
+    token_store.load_index(spark, path, Limits(token_share=0.5, fallback=9))
+    # an interrupted build: finished kinds stay, the others are written
+    token_store.remove(spark, f"{path}/pair")
+    with pytest.raises(ValueError, match="pair missing"):
+        token_store.load_index(spark, path)
+    with pytest.raises(ValueError, match="other limits"):
+        token_store.save_index(pool, path, Limits(), resume=True)
+    wrote, write = [], token_store.write_postings
+    monkeypatch.setattr(token_store, "write_postings", lambda rows, p: (wrote.append(p), write(rows, p)))
+    token_store.save_index(pool, path, limits, resume=True)
+    assert wrote == [f"{path}/pair"]
+    assert sorted(hybrid_block(s1, token_store.load_index(spark, path), limits).collect()) == want
+    monkeypatch.setattr(token_store, "VERSION", 2)
+    with pytest.raises(ValueError, match="version"):
+        token_store.load_index(spark, path)
+    monkeypatch.undo()
+    token_store.save_index(pool.limit(0), path, limits)
+    assert hybrid_block(s1, token_store.load_index(spark, path), limits).collect() == []
+
+
+def test_stream_looks_up_a_stored_index(spark, tmp_path):
+    from linkweave.operators.token_block import Limits, hybrid_block
+    from linkweave.sources.token_store import load_index, save_index
+
+    schema = "entity_id string, name string, address string, country string"
+    pool = spark.createDataFrame([("S2-1", "alpha beta", "", "A"), ("S2-2", "gamma", "", "A")], schema)
+    s1 = spark.createDataFrame([("S1-1", "alpha", "", "A"), ("S1-2", "gamma beta", "", "A")], schema)
+    s1.write.parquet(str(tmp_path / "in"))
+    save_index(pool, str(tmp_path / "index"), Limits(token_share=1.0))
+    resolve_stream(spark, str(tmp_path / "in"), schema, load_index(spark, str(tmp_path / "index")), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).drop("batch").collect()) == sorted(hybrid_block(s1, pool, Limits(token_share=1.0)).collect())
+
+
 def test_command_line(spark, tmp_path):
     s1 = put(tmp_path / "s1.tsv", RECORDS + "S1-1\tApple Tech\tx road 1\tUS\t\nS1-2\tNobody\ty\tUS\t\n")
     s2 = put(tmp_path / "s2.tsv", RECORDS + "S2-1\tApple Tech\tx road 1\tUS\t\n")
@@ -112,6 +161,12 @@ def test_command_line(spark, tmp_path):
     out = str(tmp_path / "cands")
     assert cli.main(["block", "--s1", s1, "--s2", s2, "--s3", s3, "--output", out, "--blocker", "token", "--max-doc-freq", "1"], spark) == 0
     assert {r["s1_id"]: r["cand_ids"] for r in tables.read_candidates(spark, out).collect()} == {"S1-1": ["S2-1"], "S1-2": []}
+    index, looked_up = str(tmp_path / "index"), str(tmp_path / "looked_up")
+    assert cli.main(["index", "--s2", s2, "--s3", s3, "--output", index, "--max-doc-freq", "1"], spark) == 0
+    assert cli.main(["block", "--s1", s1, "--index", index, "--output", looked_up, "--blocker", "token"], spark) == 0
+    assert sorted(tables.read_candidates(spark, looked_up).collect()) == sorted(tables.read_candidates(spark, out).collect())
+    with pytest.raises(SystemExit):
+        cli.main(["block", "--s1", s1, "--index", index, "--output", looked_up], spark)
     fused = str(tmp_path / "fused")
     assert cli.main(["block", "--s1", s1, "--s2", s2, "--s3", s3, "--output", fused, "--max-doc-freq", "1"], spark) == 0
     assert {r["s1_id"]: r["cand_ids"][:1] for r in tables.read_candidates(spark, fused).collect()}["S1-1"] == ["S2-1"]
