@@ -17,8 +17,9 @@ from linkweave.operators import decide, features, fusion, knn, learn, lsh, metri
 from linkweave.sources.derived import records, sides, truth
 from linkweave.sources.shared import shared_dir
 from linkweave.sources.tables import candidate_lists as to_lists
-from linkweave.sources.tables import record_stats, union_sources
+from linkweave.sources.tables import read_candidates, read_ids, read_records, read_truth, record_stats, select_records, union_sources, write_split, write_tsv
 from linkweave.sources.token_store import load_index, save_index
+from linkweave.streaming.incremental import resolve_stream
 
 LIMITS = token_block.Limits(0.05, 5000, 1.0, 5000, 1.0, 5000, fallback=5)
 CAP, QUOTA, NEIGHBOURS = 5, 0.3, 10
@@ -461,3 +462,74 @@ def validate_lists(s1, pool):
 def unlisted_matches(s1, pool):
     cells = to_lists(token_hits(s1, pool), s1, "cand_id")
     return validate.not_candidates(_lists(s1, pool).drop("country"), cells)
+
+
+# files, written to the shared folder and read back
+
+
+@over_sides
+def record_files(s1, pool):
+    """Two source files with a column too many."""
+    spark, paths = s1.sparkSession, []
+    for n in (2, 3):
+        paths.append(shared_dir(spark))
+        write_tsv(pool.where(F.col("src") == n).select("entity_id", F.lit("x").alias("extra"), F.col("name").alias("business_name"), F.col("address").alias("business_address"), "country"), paths[-1])
+    return read_records(spark, paths)
+
+
+@over_sides
+def truth_files(s1, pool):
+    """All matches of all S1 records, and a row for each record without one."""
+    path = shared_dir(s1.sparkSession)
+    write_tsv(_lists(s1, pool).select("source1_entity_id", "matched_entity_ids"), path)
+    return read_truth(s1.sparkSession, path, s1, every=True)
+
+
+@over_sides
+def candidate_files(s1, pool):
+    """One ordered file of candidate lists."""
+    path = shared_dir(s1.sparkSession)
+    write_tsv(candidate_lists(s1, pool), path, one_file=True)
+    return read_candidates(s1.sparkSession, path).select("s1_id", F.size("cand_ids").alias("n"), F.array_join("cand_ids", ",").alias("ids"))
+
+
+@over_sides
+def id_files(s1, pool):
+    """The records that a file of ids names, all of which must be there."""
+    path = shared_dir(s1.sparkSession)
+    write_tsv(truth(s1, pool).select(F.col("s1_id").alias("entity_id")), path)
+    return select_records(s1, read_ids(s1.sparkSession, path), strict=True).select("entity_id", "name", "address", "country")
+
+
+@over_sides
+def split_files(s1, pool):
+    """The ids of each side of the split."""
+    spark, path = s1.sparkSession, shared_dir(s1.sparkSession)
+    write_split(validation_split(s1, pool), path)
+    sides = [read_ids(spark, f"{path}/{side}").withColumn("split", F.lit(side)) for side in ("train", "validation")]
+    return sides[0].unionByName(sides[1])
+
+
+@over_sides
+def truth_metadata(s1, pool):
+    return learn.with_truth(s1, _lists(s1, pool).drop("country"))
+
+
+@over_sides
+def list_union(s1, pool):
+    """The candidates of token blocking and the true matches, list by list."""
+    ids = lambda lists, c: lists.select(F.col("source1_entity_id").alias("s1_id"), T.id_list(F.col(c)).alias("cand_ids"))
+    both = metrics.union_of_lists(ids(candidate_lists(s1, pool), "candidate_entity_ids"), ids(_lists(s1, pool), "matched_entity_ids"))
+    return both.select("s1_id", F.array_join(F.array_sort("cand_ids"), ",").alias("ids"))
+
+
+@over_sides
+def stream_block(s1, pool):
+    """hybrid_block_scored, the S1 records as a stream of files that look up a stored index."""
+    spark, (source, index, out, checkpoint) = s1.sparkSession, (shared_dir(s1.sparkSession) for _ in range(4))
+    rows = s1.select("entity_id", "name", "address", "country")
+    rows.repartition(3).write.parquet(source)
+    save_index(pool, index, LIMITS)
+    stored = load_index(spark, index)
+    resolve_stream(spark, source, rows.schema, stored, out, checkpoint, lambda s, p: token_block.hybrid_block(s, p, LIMITS), files_a_batch=2).awaitTermination()
+    return spark.read.parquet(out).drop("batch")

@@ -219,3 +219,15 @@ FROM best JOIN prep q ON q.entity_id = s1_id JOIN prep c ON c.entity_id = cand_i
         select="SELECT kind, count(*) AS n, array_to_string(list_sort(list_distinct(list(id)))[1:5], ', ') AS examples FROM vp GROUP BY 1"),
     "unlisted_matches": _with(_KEYS.strip(), select="SELECT s1_id, cand_id FROM truth EXCEPT SELECT s1_id, cand_id FROM hits"),
 }
+
+_ORDERED = "SELECT entity_id AS s1_id, count(cand_id)::INT AS n, coalesce(string_agg(cand_id, ',' ORDER BY score DESC, cand_id), '') AS ids FROM s1 LEFT JOIN hybrid ON s1_id = entity_id GROUP BY 1"
+ORACLE_SQL |= {
+    "record_files": _with(select="SELECT entity_id, name AS business_name, address AS business_address, coalesce(country, '') AS country FROM pool"),
+    "truth_files": _with(select="SELECT s1.entity_id AS s1_id, cand_id FROM s1 LEFT JOIN truth ON s1_id = s1.entity_id"),
+    "candidate_files": _with(*_ALL[:4], select=_ORDERED),
+    "id_files": _with(select="SELECT entity_id, name, address, country FROM s1 WHERE entity_id IN (SELECT s1_id FROM truth)"),
+    "split_files": f"SELECT entity_id, split FROM ({ORACLE_SQL['validation_split']})",
+    "truth_metadata": _with(_LISTS, _META, select="SELECT entity_id, country, match_count, match_category, source_coverage FROM meta"),
+    "list_union": _with(*_ALL[:4], select="SELECT entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN (SELECT s1_id, cand_id FROM hybrid UNION SELECT s1_id, cand_id FROM truth) u ON u.s1_id = entity_id GROUP BY 1"),
+    "stream_block": ORACLE_SQL["hybrid_block_scored"],
+}
