@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from linkweave.sources import shared
+from linkweave.sources.shared import shared_dir
+
 #: Words are runs of anything but these ASCII white-space characters.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: A-Z only: lower() would also touch letters outside ASCII.
@@ -17,30 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="linkweave-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/linkweave-{spark.sparkContext.applicationId}"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors and the driver share.
-
-    Only where that setting is unset in a local session, as in tests, a temporary folder stands in; in
-    other sessions that is an error. All folders of an application are in one, see remove_shared.
-    """
-    return f"{_base(spark)}/{uuid.uuid4().hex}"
-
-
 def remove_shared(spark: SparkSession) -> None:
     """Remove all that the application's operators have written so far, once their results are read or saved."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_base(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    shared.remove(spark, shared.base(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:

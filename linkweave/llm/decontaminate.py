@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.llm.common import materialize
 from linkweave.llm.vocab import text_slices
 
 #: Picked positions of each mask: five words of which an inner one may differ, or four in a row.
@@ -176,14 +177,18 @@ class SeedIndex:
         return [(t, self.ids[k], int(self.sizes[k]), place, left, stretch, -less) for t, k, less, place, _, left, stretch in best.T.tolist()]
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[SeedIndex]:
-    """Indexes of test items, each of about block_chars characters: what is broadcast at once is bounded."""
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[SeedIndex, bool]]:
+    """(an index of test items of about block_chars characters, whether there are several).
+
+    What is broadcast at once is bounded. Of several, each block's results are to be written before the
+    next is asked for, so that the driver and the plan hold one index at a time.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = math.ceil(total / block_chars)
     for b in range(n):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        yield SeedIndex(sorted((tuple(r) for r in own.collect()), key=lambda r: (r[0] is not None, r)))
+        yield SeedIndex(sorted((tuple(r) for r in own.collect()), key=lambda r: (r[0] is not None, r))), n > 1
 
 
 LEAK = "item_id bigint, item_words int, doc_word int, item_word int, stretch int, matched int"
@@ -200,7 +205,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
     kind = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {LEAK}"
     out = None
-    for index in blocks(benchmark, block_chars):
+    for index, several in blocks(benchmark, block_chars):
         def run(batches: Iterator[pa.RecordBatch], index: SeedIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a, b in text_slices(batch.column(1), BATCH_CHARS):
@@ -211,6 +216,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
                         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([a + t for t in text])), *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], ["doc_id", "item_id", "item_words", "doc_word", "item_word", "stretch", "matched"])
 
         found = src.mapInArrow(run, schema)
+        found = materialize(found) if several else found
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -218,7 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs, whole rows, without those that hold a test item (see find_leaks)."""
     out, at = docs, docs.columns.index("text")
-    for index in blocks(benchmark, block_chars):
+    for index, several in blocks(benchmark, block_chars):
         def run(batches: Iterator[pa.RecordBatch], index: SeedIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a, b in text_slices(batch.column(at), BATCH_CHARS):
@@ -227,4 +233,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
                     yield batch.take(pa.array([i for i in range(a, b) if i - a not in leaky], pa.int64()))
 
         out = out.mapInArrow(run, docs.schema)
+        out = materialize(out) if several else out
     return out

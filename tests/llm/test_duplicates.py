@@ -272,6 +272,7 @@ def test_a_long_text_of_one_word():
 def test_decontaminated_rows_stay_whole(spark):
     docs = spark.createDataFrame([(1, ITEM, "x"), (2, PAD, "y"), (2, PAD, "y"), (3, None, "z")], "doc_id long, text string, item_id string")
     items = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
-    kept = dc.decontaminate(docs, items)
-    assert kept.columns == docs.columns
-    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("doc_id > 1").collect()))
+    several = items.unionAll(spark.createDataFrame([(101, "items that no text holds " * 4)], items.schema))
+    for kept in (dc.decontaminate(docs, items), dc.decontaminate(docs, several, block_chars=60)):
+        assert kept.columns == docs.columns
+        assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("doc_id > 1").collect()))
