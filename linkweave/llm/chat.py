@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows whose spans are listed by one fold, which copies its list at each row.
+FOLD = 64
 TURN, SAYS, ALSO, END = "<|turn|>", "<|says|>", "<|also|>", "<|end|>"
 
 
@@ -52,17 +54,25 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant") -> DataF
         return F.when(merged, F.lit(ALSO)).when(i > 0, F.concat(F.lit(END), opened)).otherwise(opened)
 
     parts = convs.select("conv_id", F.transform("turns", lambda x, i: F.struct(x["role"].alias("role"), head(x, i).alias("head"), x["text"].alias("text"))).alias("parts"))
-    at = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    # folds over FOLD rows each, from where these begin: a single one would take time quadratic in the rows
+    size = lambda x: F.length(x["head"]) + F.length(x["text"])
+    each = lambda f: F.transform(F.sequence(F.lit(0), F.floor((F.size("parts") - 1) / FOLD).cast("int")), lambda b: f(b, F.slice("parts", b * FOLD + 1, F.lit(FOLD))))
+    parts = parts.withColumn("sizes", each(lambda b, own: F.aggregate(own, F.lit(0), lambda n, x: n + size(x))))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["end"] + F.length(x["head"])
         span = F.array(F.struct(start.alias("start"), F.length(x["text"]).alias("length")))
         return F.struct((start + F.length(x["text"])).alias("end"), F.when(x["role"] == escape(F.lit(loss_role)), F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
+    def spans(b: Column, own: Column) -> Column:
+        begin = F.aggregate(F.slice("sizes", F.lit(1), b), F.lit(0), lambda n, x: n + x)
+        none = F.array().cast("array<struct<start:int,length:int>>")
+        return F.aggregate(own, F.struct(begin.alias("end"), none.alias("spans")), step, lambda acc: acc["spans"])
+
     return parts.select(
         "conv_id",
         F.concat(F.array_join(F.transform("parts", lambda x: F.concat(x["head"], x["text"])), ""), F.lit(END)).alias("formatted"),
-        F.aggregate("parts", at, step, lambda acc: acc["spans"]).alias("loss_mask"),
+        F.flatten(each(spans)).alias("loss_mask"),
     )
 
 
@@ -76,7 +86,16 @@ def parse_conversations(formatted: DataFrame) -> DataFrame:
         return F.transform(F.split(body, literal(ALSO), -1), lambda p: F.struct(unescape(role).alias("role"), unescape(p).alias("text")))
 
     inner = F.col("formatted").substr(F.lit(len(TURN) + 1), F.length("formatted") - len(TURN) - len(END))
+
+    def under(b: Column) -> Column:
+        """The texts of FOLD spans, from a cut of the output that holds them: a substring is counted out from the front."""
+        own = F.slice("loss_mask", b * FOLD + 1, F.lit(FOLD))
+        begin, last = F.get(own, F.lit(0))["start"], F.element_at(own, -1)
+        cut = F.transform(F.array(F.col("formatted").substr(begin + 1, last["start"] + last["length"] - begin)), lambda c: F.transform(own, lambda s: unescape(c.substr(s["start"] - begin + 1, s["length"]))))
+        return F.array_join(F.flatten(cut), "")
+
+    folds = F.when(F.size("loss_mask") > 0, F.sequence(F.lit(0), F.floor((F.size("loss_mask") - 1) / FOLD).cast("int"))).otherwise(F.array().cast("array<int>"))
     return formatted.withColumns({
         "turns": F.flatten(F.transform(F.split(inner, literal(END + TURN), -1), of_block)),
-        "loss_text": F.array_join(F.transform("loss_mask", lambda s: unescape(F.col("formatted").substr(s["start"] + 1, s["length"]))), ""),
+        "loss_text": F.array_join(F.transform(folds, under), ""),
     })

@@ -32,6 +32,19 @@ def test_adjacent_turns_are_merged(spark):
     assert [(s["start"], s["length"]) for s in r["loss_mask"]] == [(r["formatted"].index("c<"), 1), (r["formatted"].index("d<"), 1)]
 
 
+def test_long_conversations(spark):
+    """Around and far over the rows of a fold; spans begin and end where the texts do."""
+    sizes = dict(enumerate([chat.FOLD - 1, chat.FOLD, chat.FOLD + 1, 2 * chat.FOLD, 20_000]))
+    role = lambda i: "assistant" if i % 3 == 0 or i % 7 > 4 else "user"
+    got = back(spark, [(c, i, role(i), f"<|é😀\\{i}") for c, n in sizes.items() for i in range(n)] + [(9, i, "user", "x") for i in range(chat.FOLD + 1)])
+    for c, n in sizes.items():
+        want = [f"<|é😀\\{i}" for i in range(n) if role(i) == "assistant"]
+        assert got[c]["loss_text"] == "".join(want)
+        cut = [got[c]["formatted"][s["start"] : s["start"] + s["length"]] for s in got[c]["loss_mask"]]
+        assert [t.replace("<\\|", "<|").replace("\\\\", "\\") for t in cut] == want
+    assert (got[9]["loss_mask"], got[9]["loss_text"]) == ([], "")
+
+
 def test_nulls_ties_and_repeats(spark):
     r = back(spark, [(1, None, None, None), (1, 1, "user", "b"), (1, 1, "user", "a"), (1, 1, "user", "a"), (None, 0, "user", "x")])
     assert [(t["role"], t["text"]) for t in r[1]["turns"]] == [("", ""), ("user", "a"), ("user", "a"), ("user", "b")]
