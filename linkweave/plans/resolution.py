@@ -14,8 +14,8 @@ from linkweave.operators.features import pair_features
 from linkweave.operators.fusion import prune
 from linkweave.operators.knn import choose_knn, embed
 from linkweave.operators.learn import hard_negatives, predict, train
-from linkweave.operators.lsh import lsh_block
-from linkweave.operators.token_block import Limits, TokenIndex, hybrid_block
+from linkweave.operators.lsh import lsh_in_blocks
+from linkweave.operators.token_block import Limits, TokenIndex, hybrid_in_blocks
 
 
 @dataclass(frozen=True)
@@ -43,8 +43,8 @@ def normalized(records: DataFrame) -> DataFrame:
 
 def candidates(s1: DataFrame, pool: DataFrame, settings: Settings = Settings(), vectors: bool = True, index: TokenIndex | None = None) -> DataFrame:
     """s1_id, cand_id, rank, mask, score: the ranked candidates of each S1 record. index: a stored token index of the pool."""
-    p1 = hybrid_block(s1, index or pool, settings.limits)
-    p2 = lsh_block(s1, pool, settings.lsh_threshold, settings.permutations, settings.n_gram, settings.lsh_hits).withColumnRenamed("hits", "score")
+    p1 = hybrid_in_blocks(s1, index or pool, settings.limits)
+    p2 = lsh_in_blocks(s1, pool, settings.lsh_threshold, settings.permutations, settings.n_gram, settings.lsh_hits).withColumnRenamed("hits", "score")
     p3 = None
     if vectors:
         text = record_text(F.col("name"), F.col("address"))
