@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import materialize
+from linkweave.llm.common import materialize, maybe_in
 from linkweave.llm.components import connected_components
 from linkweave.llm.shingles import Shingler, mix, signatures
 from linkweave.llm.vocab import text_slices
@@ -119,9 +119,9 @@ def pairs_of_small(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (u, v) across components in one bucket that may be similar.
 
     Shingles that no other open text has can't be in an intersection, which bounds it. Texts that
-    share a doc_id have a bound each.
+    share a doc_id have a bound each. A text too many among the open ones only loosens the bound.
     """
-    own = sets.join(members.select("rep").distinct(), "rep", "left_semi").withColumn("print", F.xxhash64("shingles"))
+    own = maybe_in(sets, "rep", members.select("rep")).withColumn("print", F.xxhash64("shingles"))
     alone = own.select("rep", "print", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("print").alias("print")).where("n = 1").groupBy("rep", "print").agg(F.count("*").alias("alone"))
     sizes = own.select("rep", "print", F.size("shingles").alias("n")).join(alone, ["rep", "print"], "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
     docs = members.join(sizes, "rep").groupBy("key").agg(F.collect_list(F.struct("rep", "component", "n", "shared")).alias("docs")).select("docs")
@@ -159,7 +159,7 @@ def links_of_large(members: DataFrame, sets: DataFrame) -> DataFrame:
     Each pair of blocks is a join key of its own, so that one bucket's work is spread.
     """
     n = F.ceil(F.col("members") / BLOCK)
-    rows = members.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks")).join(sets, "rep")
+    rows = members.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks")).join(maybe_in(sets, "rep", members.select("rep")), "rep")
     blocks = materialize(rows.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("rep", "component", "shingles")).alias("docs")))
     first = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
     second = blocks.select("key", F.col("block").alias("other"), F.col("docs").alias("others"))
@@ -214,17 +214,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # a row makes many keys: small parts keep what a task gathers small
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() // REPS_A_TASK)
     rows = buckets(classes.select("rep", "signature").repartition(parts))
+    # most keys are of one class only: their rows stay out of the joins, and texts and sets that aren't needed out of shuffles
+    rows = materialize(maybe_in(rows, "key", rows.groupBy("key").count().where("count > 1").select("key")))
     hubs = rows.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
     open_rows = materialize(rows.join(hubs, "key"))
-    wanted = open_rows.select("rep").distinct()
-    sets = materialize(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    sets = materialize(shingle_sets(maybe_in(texts, "doc_id", open_rows.select("rep"))))
     stars = open_rows.where("hub <> rep").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
     found = connected_components(confirm(stars, sets))
     # buckets whose members are in several components
     members = open_rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "members", F.coalesce("component", "rep").alias("component"))
     several = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     members = materialize(members.join(several, "key", "left_semi"))
-    small = confirm(pairs_of_small(members.where(F.col("members") <= SMALL_BUCKET), sets), sets)
+    pairs = materialize(pairs_of_small(members.where(F.col("members") <= SMALL_BUCKET), sets))
+    small = confirm(pairs, maybe_in(sets, "rep", pairs.select(F.explode(F.array("u", "v")))))
     large = links_of_large(members.where(F.col("members") > SMALL_BUCKET), sets)
     more = materialize(small.unionByName(large))
     if not more.isEmpty():

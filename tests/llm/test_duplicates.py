@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from linkweave.llm import common
 from linkweave.llm import decontaminate as dc
 from linkweave.llm import near_dedup as nd
 from linkweave.llm.components import connected_components
@@ -80,6 +81,33 @@ def test_large_group_goes_block_by_block(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near(spark, rows)} == brute(rows)
 
 
+def test_bits_keep_all_wanted_rows(spark):
+    rows = spark.range(-500, 2000).selectExpr("id", "id AS text").unionByName(spark.createDataFrame([(None, None)], "id long, text long"))
+    wanted = [*range(-500, 1500, 17), 7, 7]
+    got = {r["id"] for r in common.maybe_in(rows, "id", spark.createDataFrame([(i,) for i in wanted], "x long")).collect()}
+    assert set(wanted) <= got and len(got) < len(set(wanted)) + 5
+    assert common.maybe_in(rows, "id", rows.select("id").where("false")).count() == 0
+
+
+def test_texts_that_bits_let_through_change_nothing(spark, monkeypatch):
+    rows = corpus(3, 12, 6, 60, 4)
+    monkeypatch.setattr(common, "FILTER_BITS", 64)
+    got = near(spark, rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows)
+
+
+def test_texts_are_not_shuffled(spark, monkeypatch):
+    plans, write = [], nd.materialize
+    monkeypatch.setattr(nd, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near(spark, corpus(4, 6, 4, 40, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any("shingles" in p for p in plans)
+    assert not any("hashpartitioning(doc_id" in p for p in plans)
+
+
 def test_edges(spark):
     long = " ".join(f"t{i}" for i in range(30_000))
     rows = [(9, "one two"), (4, "ONE\ttwo\n"), (7, "one two three"), (1, None), (2, ""), (3, " \n "), (None, "one two"), (20, long), (21, long + " more"), (30, "É a b c d e"), (31, "é a b c d e"), (40, "same again"), (40, "same again"), (41, "SAME again")]
