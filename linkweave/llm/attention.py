@@ -7,13 +7,15 @@ window; the output is a distribution over classes of what comes next.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 WIDTH, CONTEXT, SCORED = 16, 8, 24
 WINDOW = CONTEXT + SCORED
 QUERY, KEY, VALUE, REST = (slice(k * WIDTH, (k + 1) * WIDTH) for k in range(4))
 HIDDEN, MOST = np.float32(-1e9), np.float32(50)
-ROWS = 64  # windows at once: what is worked on stays in cache
+ROWS, STEP = 64, 256  # windows, and rows of logits, at once: what is worked on stays in cache
 
 _BACK = (np.arange(CONTEXT, WINDOW)[:, None] - np.arange(WINDOW)[None]).clip(0)
 _AHEAD = np.arange(WINDOW)[None] > np.arange(CONTEXT, WINDOW)[:, None]
@@ -45,15 +47,15 @@ def _norm(x: np.ndarray) -> float:
     return float(np.sqrt(np.einsum("...i,...i->...", x, x).max(initial=0)))
 
 
-def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(logits, attention powers, 1 / their sums, what they read, hidden, scaled queries, table rows) for
-    windows of input ids; real: which positions hold an input.
+def attend(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hidden, attention powers, 1 / their sums, what they read, scaled queries, table rows) for windows
+    of input ids; real: which positions hold an input.
 
-    Logits and scores aren't shifted by their maximum, and sums are products with ones: both far
-    cheaper over short rows. Where the norms don't rule out large values, they are held within MOST.
-    Powers stay undivided; only what they read is divided by their sum.
+    Scores aren't shifted by their maximum, and sums are products with ones: both far cheaper over short
+    rows. Where the norms don't rule out large values, they are held within MOST. Powers stay undivided;
+    only what they read is divided by their sum.
     """
-    rows = p["table"][ids]
+    rows = np.take(p["table"], ids, axis=0)
     q, k = rows[:, CONTEXT:, QUERY] * np.float32(WIDTH**-0.5), rows[:, :, KEY]
     scores = q @ k.transpose(0, 2, 1)
     if _norm(q) * _norm(k) > MOST:
@@ -65,11 +67,29 @@ def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tupl
     each = 1 / np.maximum(powers @ np.ones(WINDOW, powers.dtype), np.float32(1e-30))[:, :, None]
     read = (powers @ rows[:, :, VALUE]) * each
     hidden = np.ones((read.shape[0] * SCORED, WIDTH + 1), read.dtype)  # the last is for the biases
-    hidden[:, :WIDTH] = (read + rows[:, CONTEXT:, REST]).reshape(-1, WIDTH)
-    logits = hidden @ p["w"]
-    if _norm(hidden) * _norm(p["w"].T) > MOST:
-        np.minimum(logits, MOST, out=logits)
-    return logits, powers, each, read, hidden, q, rows
+    np.add(read, rows[:, CONTEXT:, REST], out=hidden.reshape(-1, SCORED, WIDTH + 1)[:, :, :WIDTH])
+    return hidden, powers, each, read, q, rows
+
+
+def logits(p: dict[str, np.ndarray], hidden: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """(which rows, their logits) of hidden, STEP rows at once; each overwrites the one before, so that they stay in cache.
+
+    Logits aren't shifted by their maximum either, but held within MOST where the norms don't rule out large values.
+    """
+    w, large = p["w"], _norm(hidden) * _norm(p["w"].T) > MOST
+    held = np.empty((min(STEP, len(hidden)), w.shape[1]), np.result_type(hidden, w))
+    for a in range(0, len(hidden), STEP):
+        own = slice(a, min(a + STEP, len(hidden)))
+        out = np.matmul(hidden[own], w, out=held[: own.stop - a])
+        if large:
+            np.minimum(out, MOST, out=out)
+        yield own, out
+
+
+def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The logits of all scored positions of windows, in front of what attend gives."""
+    told = attend(p, ids, real)
+    return np.concatenate([out.copy() for _, out in logits(p, told[0])] or [np.zeros((0, p["w"].shape[1]), np.float32)]), *told
 
 
 def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, sizes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +103,14 @@ def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, siz
     both = np.stack([np.ones(len(leads)), leads], 1).astype(np.float32)
     for a in range(0, len(index), ROWS):
         at = index[a : a + ROWS]
-        logits = forward(p, inputs[at], at >= 0)[0]
         real = scored[a : a + ROWS].ravel()
         place = at[:, CONTEXT:].ravel()[real]
         goal = classes[place]
-        told = logits[real, goal]
-        sums = np.log(np.maximum(np.exp(logits, out=logits) @ both, np.float32(1e-30)))[real]
+        told, sums = np.empty(len(place)), np.empty((len(place), 2), np.float32)
+        for part, out in logits(p, attend(p, inputs[at], at >= 0)[0][real]):
+            told[part] = out[np.arange(len(out)), goal[part]]
+            np.matmul(np.exp(out, out=out), both, out=sums[part])
+        sums = np.log(np.maximum(sums, np.float32(1e-30)))
         first = leads[goal]
         own[place] = told - np.where(first, sums[:, 1], sums[:, 0])
         begins[place] = np.where(first, sums[:, 1] - sums[:, 0], 0)
@@ -98,17 +120,22 @@ def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, siz
 def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
     """(mean loss, gradient of the weights, the table rows that its part of the table stands for) over the
     scored positions of windows; goal is -1 where there is none."""
-    logits, powers, each, read, hidden, q, rows = forward(p, ids, real)
-    goal = goal.ravel()
-    own = np.flatnonzero(goal >= 0)
-    n = max(1, len(own))
-    told = logits[own, goal[own]]
-    g = np.exp(logits, out=logits)
-    whole = g @ np.ones(g.shape[1], g.dtype)
-    g[own, goal[own]] -= whole[own]  # g is that of the logits, times whole and n
-    scale = ((goal >= 0) / (whole * n)).astype(read.dtype)[:, None]
-    d = {"w": (hidden * scale).T @ g}
-    gh = ((g @ p["w"][:WIDTH].T) * scale).reshape(read.shape)
+    hidden, powers, each, read, q, rows = attend(p, ids, real)
+    own = np.flatnonzero(goal.ravel() >= 0)
+    goal, n, loss = goal.ravel()[own], max(1, len(own)), 0.0
+    kept = hidden if len(own) == len(hidden) else hidden[own]
+    d, gh, back = {"w": np.zeros_like(p["w"])}, np.zeros((len(hidden), WIDTH), read.dtype), np.ascontiguousarray(p["w"][:WIDTH].T)
+    ones = np.ones(p["w"].shape[1], read.dtype)
+    for part, g in logits(p, kept):
+        at = np.arange(len(g)), goal[part]
+        loss -= g[at].sum(dtype=float)
+        whole = np.exp(g, out=g) @ ones
+        loss += np.log(whole).sum(dtype=float)
+        g[at] -= whole  # g is that of the logits, times whole and n
+        scale = (1 / (whole * n)).astype(read.dtype)[:, None]
+        d["w"] += (kept[part] * scale).T @ g
+        gh[own[part]] = (g @ back) * scale
+    gh = gh.reshape(read.shape)
     k, v = rows[:, :, KEY], rows[:, :, VALUE]
     ghz = gh * each
     gs = ghz @ v.transpose(0, 2, 1)
@@ -121,17 +148,18 @@ def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal:
     out[:, :, VALUE] = powers.transpose(0, 2, 1) @ ghz
     out[:, CONTEXT:, REST] = gh
     at, d["table"] = summed(ids.ravel(), out.reshape(-1, out.shape[2]))
-    return float((np.log(whole[own]) - told).sum()) / n, d, at
+    return loss / n, d, at
 
 
 def summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct row numbers, the sums of their rows)."""
+    """(distinct row numbers, the sums of their rows), of an even width. Two numbers are added at once, as a complex one."""
     if len(at) and at.max() < 1 << 16:
         at = at.astype(np.uint16)  # sorted by digits
     order = np.argsort(at, kind="stable")
     own = at[order]
     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    return own[starts].astype(np.int64), np.add.reduceat(rows[order], starts, axis=0)
+    both = np.take(rows, order, axis=0).view(np.result_type(rows, np.complex64))
+    return own[starts].astype(np.int64), np.add.reduceat(both, starts, axis=0).view(rows.dtype)
 
 
 class Adam:

@@ -1,5 +1,6 @@
 """Quality rules and language-model scores."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -129,6 +130,32 @@ def test_attention_looks_back_only():
     assert not np.allclose(a[-1], b[-1])
 
 
+def test_logits_are_made_in_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    p = attention.initial(300, np.full(2048, 1 / 2048), 2)
+    ids, real = rng.integers(0, 300, (512, attention.WINDOW)), rng.random((512, attention.WINDOW)) < 0.9
+    real[:, attention.CONTEXT] = True
+    goal = rng.integers(-1, 2048, (512, attention.SCORED))
+    tracemalloc.start()
+    loss, d, at = attention.gradient(p, ids, real, goal)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < goal.size * 2048 * 4 / 2
+    monkeypatch.setattr(attention, "STEP", 10**6)
+    loss2, d2, at2 = attention.gradient(p, ids, real, goal)
+    assert loss == pytest.approx(loss2, rel=1e-6) and (at == at2).all()
+    assert all(np.allclose(d[n], d2[n], atol=1e-6) for n in d)
+
+
+def test_sums_of_rows():
+    rng = np.random.default_rng(6)
+    at, rows = rng.integers(0, 40, 500), rng.normal(size=(500, 8))
+    for kind in (np.float32, np.float64):
+        got, sums = attention.summed(at, rows.astype(kind))
+        assert sums.dtype == kind and got.tolist() == sorted(set(at.tolist()))
+        assert np.allclose(sums, [rows[at == i].sum(0) for i in got], atol=1e-5)
+
+
 TEXTS = [(i, prose(i) if i % 9 else f"Rare{i} wörd\tx", "clash", "clash") for i in range(300)] + [(301, None, None, None), (302, "", None, None), (None, "the OLD mill", None, None), (5, prose(5), None, None)]
 
 
