@@ -15,7 +15,7 @@ WIDTH, CONTEXT, SCORED = 16, 8, 24
 WINDOW = CONTEXT + SCORED
 QUERY, KEY, VALUE, REST = (slice(k * WIDTH, (k + 1) * WIDTH) for k in range(4))
 HIDDEN, MOST = np.float32(-1e9), np.float32(50)
-ROWS, STEP = 64, 256  # windows, and rows of logits, at once: what is worked on stays in cache
+ROWS, STEP = 128, 1024  # windows, and rows of logits, at once: few calls, and what is worked on stays in cache
 
 _BACK = (np.arange(CONTEXT, WINDOW)[:, None] - np.arange(WINDOW)[None]).clip(0)
 _AHEAD = np.arange(WINDOW)[None] > np.arange(CONTEXT, WINDOW)[:, None]
@@ -71,25 +71,34 @@ def attend(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple
     return hidden, powers, each, read, q, rows
 
 
-def logits(p: dict[str, np.ndarray], hidden: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
-    """(which rows, their logits) of hidden, STEP rows at once; each overwrites the one before, so that they stay in cache.
+def weighed(p: dict[str, np.ndarray], hidden: np.ndarray, goal: np.ndarray, sides: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(which rows, their goals' logits, the powers of all their logits, the goals' places among these, the powers' products with
+    sides) of hidden, STEP rows at once; the powers overwrite those before, so that they stay in cache. The first of the sides is ones.
 
-    Logits aren't shifted by their maximum either, but held within MOST where the norms don't rule out large values.
+    Logits aren't shifted by their maximum either. They are held within MOST where a sum of powers tells that one may be over it;
+    holding all of them takes as long as the product that makes them.
     """
-    w, large = p["w"], _norm(hidden) * _norm(p["w"].T) > MOST
-    held = np.empty((min(STEP, len(hidden)), w.shape[1]), np.result_type(hidden, w))
+    w, kind = p["w"], np.result_type(hidden, p["w"])
+    held, sides, limit = np.empty((min(STEP, len(hidden)), w.shape[1]), kind), sides.astype(kind), np.exp(kind.type(MOST))
+    places, flat = np.arange(len(held)) * w.shape[1], held.ravel()
     for a in range(0, len(hidden), STEP):
         own = slice(a, min(a + STEP, len(hidden)))
         out = np.matmul(hidden[own], w, out=held[: own.stop - a])
-        if large:
-            np.minimum(out, MOST, out=out)
-        yield own, out
+        at = places[: len(out)] + goal[own]
+        told = flat[at]
+        with np.errstate(over="ignore", invalid="ignore"):
+            sums = np.exp(out, out=out) @ sides
+        if not sums[:, 0].max() <= limit:  # nor is what isn't a number
+            np.minimum(np.matmul(hidden[own], w, out=out), MOST, out=out)
+            told = flat[at]
+            sums = np.exp(out, out=out) @ sides
+        yield own, told, out, at, sums
 
 
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
     """The logits of all scored positions of windows, in front of what attend gives."""
     told = attend(p, ids, real)
-    return np.concatenate([out.copy() for _, out in logits(p, told[0])] or [np.zeros((0, p["w"].shape[1]), np.float32)]), *told
+    return np.minimum(told[0] @ p["w"], MOST), *told
 
 
 def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, sizes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +116,8 @@ def score(p: dict[str, np.ndarray], inputs: np.ndarray, classes: np.ndarray, siz
         place = at[:, CONTEXT:].ravel()[real]
         goal = classes[place]
         told, sums = np.empty(len(place)), np.empty((len(place), 2), np.float32)
-        for part, out in logits(p, attend(p, inputs[at], at >= 0)[0][real]):
-            told[part] = out[np.arange(len(out)), goal[part]]
-            np.matmul(np.exp(out, out=out), both, out=sums[part])
+        for part, own_told, _, _, own_sums in weighed(p, attend(p, inputs[at], at >= 0)[0][real], goal, both):
+            told[part], sums[part] = own_told, own_sums
         sums = np.log(np.maximum(sums, np.float32(1e-30)))
         first = leads[goal]
         own[place] = told - np.where(first, sums[:, 1], sums[:, 0])
@@ -124,17 +132,17 @@ def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal:
     own = np.flatnonzero(goal.ravel() >= 0)
     goal, n, loss = goal.ravel()[own], max(1, len(own)), 0.0
     kept = hidden if len(own) == len(hidden) else hidden[own]
-    d, gh, back = {"w": np.zeros_like(p["w"])}, np.zeros((len(hidden), WIDTH), read.dtype), np.ascontiguousarray(p["w"][:WIDTH].T)
-    ones = np.ones(p["w"].shape[1], read.dtype)
-    for part, g in logits(p, kept):
-        at = np.arange(len(g)), goal[part]
-        loss -= g[at].sum(dtype=float)
-        whole = np.exp(g, out=g) @ ones
-        loss += np.log(whole).sum(dtype=float)
-        g[at] -= whole  # g is that of the logits, times whole and n
-        scale = (1 / (whole * n)).astype(read.dtype)[:, None]
-        d["w"] += (kept[part] * scale).T @ g
+    d, gh = {"w": np.zeros_like(p["w"])}, np.zeros((len(hidden), WIDTH), read.dtype)
+    inner, back = np.ascontiguousarray(kept[:, :WIDTH]), np.ascontiguousarray(p["w"][:WIDTH].T)
+    part_w = np.zeros_like(back)
+    for part, told, g, at, whole in weighed(p, kept, goal, np.ones((p["w"].shape[1], 1))):
+        loss += np.log(whole).sum(dtype=float) - told.sum(dtype=float)
+        g.ravel()[at] -= whole[:, 0]  # g is that of the logits, times whole and n
+        scale = (1 / (whole * n)).astype(read.dtype)
+        part_w += g.T @ (inner[part] * scale)
+        d["w"][WIDTH] += scale[:, 0] @ g
         gh[own[part]] = (g @ back) * scale
+    d["w"][:WIDTH] = part_w.T
     gh = gh.reshape(read.shape)
     k, v = rows[:, :, KEY], rows[:, :, VALUE]
     ghz = gh * each
@@ -142,10 +150,12 @@ def gradient(p: dict[str, np.ndarray], ids: np.ndarray, real: np.ndarray, goal:
     gs -= np.einsum("ijk,ijk->ij", ghz, read)[:, :, None]
     gs *= powers
     d["near"] = np.bincount(_BACK.ravel(), np.where(_AHEAD, 0, gs.sum(0)).ravel(), WINDOW).astype(read.dtype)
-    out = np.zeros_like(rows)
-    out[:, CONTEXT:, QUERY] = (gs @ k) * np.float32(WIDTH**-0.5)
-    out[:, :, KEY] = gs.transpose(0, 2, 1) @ q
-    out[:, :, VALUE] = powers.transpose(0, 2, 1) @ ghz
+    out = np.empty_like(rows)
+    out[:, :CONTEXT] = 0
+    np.matmul(gs, k, out=out[:, CONTEXT:, QUERY])
+    out[:, CONTEXT:, QUERY] *= np.float32(WIDTH**-0.5)
+    np.matmul(gs.transpose(0, 2, 1), q, out=out[:, :, KEY])
+    np.matmul(powers.transpose(0, 2, 1), ghz, out=out[:, :, VALUE])
     out[:, CONTEXT:, REST] = gh
     at, d["table"] = summed(ids.ravel(), out.reshape(-1, out.shape[2]))
     return loss / n, d, at

@@ -147,6 +147,28 @@ def test_logits_are_made_in_blocks(monkeypatch):
     assert all(np.allclose(d[n], d2[n], atol=1e-6) for n in d)
 
 
+def test_logits_are_held_only_where_one_is_too_large(monkeypatch):
+    rng, held, minimum = np.random.default_rng(7), [], np.minimum
+    p = {"w": np.r_[rng.normal(0, 0.1, (attention.WIDTH, 40)), np.full((1, 40), -60.0)].astype(np.float32)}
+    p["w"][-1, 3] = 0
+    hidden = np.c_[rng.normal(size=(300, attention.WIDTH)), np.ones(300)].astype(np.float32)
+    goal, sides = rng.integers(0, 40, 300), np.c_[np.ones(40), np.arange(40) > 20]
+    monkeypatch.setattr(attention, "STEP", 100)
+    monkeypatch.setattr(np, "minimum", lambda a, *rest, **named: held.append(np.shape(a)) or minimum(a, *rest, **named))
+
+    def check(blocks):
+        held.clear()
+        for own, told, powers, at, sums in attention.weighed(p, hidden, goal, sides):
+            want = minimum(hidden[own].astype(float) @ p["w"].astype(float), 50)
+            assert np.allclose(told, want[np.arange(100), goal[own]], rtol=1e-5) and np.allclose(powers, np.exp(want), rtol=1e-4)
+            assert np.allclose(sums, np.exp(want) @ sides, rtol=1e-4) and (powers.ravel()[at] == powers[np.arange(100), goal[own]]).all()
+        assert held == [(100, 40)] * blocks
+
+    check(0)  # whatever the norms
+    hidden[150, :-1] = 120 * p["w"][:-1, 3] / (p["w"][:-1, 3] ** 2).sum()  # its power overflows, in one block of three
+    check(1)
+
+
 def test_sums_of_rows():
     rng = np.random.default_rng(6)
     at, rows = rng.integers(0, 40, 500), rng.normal(size=(500, 8))
