@@ -49,15 +49,21 @@ def rrf(p3_weight: float = 1.0, k: int = RRF_K) -> Column:
     return term("r1", 1) + term("r2", 1) + term("r3", p3_weight) + F.lit(SOURCE_BONUS) * F.bit_count("mask")
 
 
-def _numbered(folded: DataFrame) -> DataFrame:
-    """Adds rrf, n (candidates of the query), core, n_core, n3 and the places within the two classes."""
+def _counted(folded: DataFrame) -> DataFrame:
+    """Adds rrf, core, n (candidates of the query), n_core and n_two (those of two blockers or more) and n3; rows of operators.fused bring the numbers along."""
     rows, own = folded.withColumn("rrf", rrf()).withColumn("core", F.col("mask").bitwiseAND(3) > 0), by_query(folded)
-    return rows.withColumns({
-        "n": F.expr(f"count(*) OVER (PARTITION BY {own})"),
-        "n_core": F.expr(f"count_if(core) OVER (PARTITION BY {own})"),
+    if "n" not in rows.columns:
+        rows = rows.withColumns({"n": F.expr(f"count(*) OVER (PARTITION BY {own})"), "n_core": F.expr(f"count_if(core) OVER (PARTITION BY {own})"), "n_two": F.expr(f"count_if(bit_count(mask) >= 2) OVER (PARTITION BY {own})")})
+    return rows.withColumn("n3", F.col("n") - F.col("n_core"))
+
+
+def _numbered(folded: DataFrame) -> DataFrame:
+    """_counted, with the places within the two classes."""
+    own = by_query(folded)
+    return _counted(folded).withColumns({
         "by_rrf": F.expr(f"row_number() OVER (PARTITION BY {own}, core ORDER BY rrf DESC, cand_id)"),
         "by_p3": F.expr(f"row_number() OVER (PARTITION BY {own}, core ORDER BY p3 DESC NULLS LAST, cand_id)"),
-    }).withColumn("n3", F.col("n") - F.col("n_core"))
+    })
 
 
 def _final(kept: DataFrame, order: str = "score DESC, cand_id") -> DataFrame:
@@ -114,13 +120,8 @@ def prune_by_hits(folded: DataFrame, cap: int = 1000, quota: float = 0.30) -> Da
 def prune_agreement(folded: DataFrame, cap: int = 1000, quota: float = 0.30, orders: tuple[str, str, str] = (AGREEMENT, LEXICAL, EMBEDDING)) -> DataFrame:
     """Candidates of two or more blockers first; of the places left a quota for vector-only ones; unused places go to the others."""
     (agreement, lexical, embedding), own = orders, by_query(folded)
-    rows = folded.withColumn("rrf", rrf()).withColumn("kind", F.when(F.bit_count("mask") >= 2, 0).when(F.col("mask") == 4, 2).otherwise(1))
-    rows = rows.withColumns({
-        "n": F.expr(f"count(*) OVER (PARTITION BY {own})"),
-        "n_two": F.expr(f"count_if(kind = 0) OVER (PARTITION BY {own})"),
-        "n3": F.expr(f"count_if(kind = 2) OVER (PARTITION BY {own})"),
-        "place": F.expr(f"CASE kind WHEN 0 THEN row_number() OVER (PARTITION BY {own}, kind ORDER BY {agreement}) WHEN 1 THEN row_number() OVER (PARTITION BY {own}, kind ORDER BY {lexical}) ELSE row_number() OVER (PARTITION BY {own}, kind ORDER BY {embedding}) END"),
-    })
+    rows = _counted(folded).withColumn("kind", F.when(F.bit_count("mask") >= 2, 0).when(F.col("mask") == 4, 2).otherwise(1))
+    rows = rows.withColumn("place", F.expr(f"CASE kind WHEN 0 THEN row_number() OVER (PARTITION BY {own}, kind ORDER BY {agreement}) WHEN 1 THEN row_number() OVER (PARTITION BY {own}, kind ORDER BY {lexical}) ELSE row_number() OVER (PARTITION BY {own}, kind ORDER BY {embedding}) END"))
     free = F.greatest(cap - F.col("n_two"), F.lit(0))
     rows = rows.withColumn("p3_slots", F.least(F.col("n3"), F.bround(free * F.lit(float(quota))).cast("long"))).withColumn("p12_slots", free - F.col("p3_slots"))
     rows = rows.withColumn("first", (F.col("n") <= cap) | ((F.col("kind") == 0) & (F.col("place") <= cap)) | ((F.col("kind") == 1) & (F.col("place") <= F.col("p12_slots"))) | ((F.col("kind") == 2) & (F.col("place") <= F.col("p3_slots"))))
